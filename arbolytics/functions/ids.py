@@ -26,7 +26,8 @@ def uuid5(*parts: Column | str) -> Column:
     name = _col(parts[0]).cast("string")
     for part in parts[1:]:
         name = F.concat(name, F.lit("-"), _col(part).cast("string"))
-    digest = F.sha1(F.concat(F.unhex(F.lit(DNS_NAMESPACE_HEX)), F.encode(name, "utf-8")))
+    # A cast and not encode(): the planner then knows that the id of non-null keys is not null.
+    digest = F.sha1(F.concat(F.lit(bytes.fromhex(DNS_NAMESPACE_HEX)), name.cast("binary")))
     # The variant digit keeps its low two bits and gets the high bits 10.
     variant = F.translate(digest.substr(17, 1), "0123456789abcdef", "89ab" * 4)
     return F.concat(
@@ -47,5 +48,5 @@ def register_id_function(spark: SparkSession, name: str = "uuid5_id") -> None:
                       translate(substr(h, 17, 1), '0123456789abcdef', '{"89ab" * 4}'),
                       substr(h, 18, 3), '-', substr(h, 21, 12))
           FROM (SELECT sha1(concat(unhex('{DNS_NAMESPACE_HEX}'),
-                       encode(CASE WHEN exists(parts, p -> p IS NULL) THEN NULL
-                                   ELSE array_join(parts, '-') END, 'utf-8'))) AS h)""")
+                       CAST(CASE WHEN exists(parts, p -> p IS NULL) THEN NULL
+                                 ELSE array_join(parts, '-') END AS BINARY))) AS h)""")
