@@ -54,7 +54,11 @@ def build_edges(rows: DataFrame, edge: EdgeSpec, specs: Mapping[str, NodeSpec])
     """The distinct edges of one type, read off the rows that hold both keys."""
     start, end = specs[edge.start], specs[edge.end]
     keys = list(dict.fromkeys([*start.keys, *end.keys]))
-    pairs = rows.select(keys).dropna(subset=keys).distinct()
+    # isNotNull and not dropna: the planner pushes it to the scan and knows the ids are not null.
+    pairs = rows.select(keys)
+    for key in keys:
+        pairs = pairs.filter(F.col(key).isNotNull())
+    pairs = pairs.distinct()
     label = None
     if end.values:
         pairs = pairs.select("*", F.explode(F.array(*[F.lit(v) for v in end.values])).alias("_label"))

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from arbolytics.functions.ids import prefixed_id
 from arbolytics.functions.scalars import to_double
 from arbolytics.operators.ranking import bottom_k, count_per, number_rows, random_k, top_k
 from arbolytics.plans.graph_build import Graph, all_edges, all_nodes
@@ -131,9 +132,10 @@ def two_hops(first: DataFrame, second: DataFrame, k: int) -> DataFrame:
                       F.col(":END_ID").alias("s"))
     e2 = second.select(F.col(":ID").alias("second_edge"), F.col(":START_ID").alias("s"),
                        F.col(":END_ID").alias("d"))
-    goes_on = e2.groupBy("s").agg(F.min("second_edge").alias("a"), F.max("second_edge").alias("b"))
-    different = ((F.col("first_edge") != F.col("a")) | (F.col("first_edge") != F.col("b")))
-    picked = e1.join(goes_on, "s").filter(different).drop("a", "b").orderBy("first_edge").limit(k)
+    goes_on = e2.groupBy("s").agg(F.count(F.lit(1)).alias("n_on"))
+    # Only an edge from a vertex to itself can be its own continuation.
+    picked = (e1.join(goes_on, "s").filter((F.col("n") != F.col("s")) | (F.col("n_on") > 1))
+              .drop("n_on").orderBy("first_edge").limit(k))
     # picked has at most k rows, so the broadcast is bounded.
     return (e2.join(F.broadcast(picked), "s").filter("first_edge <> second_edge")
             .select("n", "first_edge", "s", "second_edge", "d")
@@ -141,11 +143,12 @@ def two_hops(first: DataFrame, second: DataFrame, k: int) -> DataFrame:
 
 
 def sensor_event_values(graph: Graph, k: int = 200) -> DataFrame:
-    return two_hops(graph.edges["registers"], graph.edges["contains"], k)
+    contains = stage(graph.edges["contains"], "edges")
+    return two_hops(graph.edges["registers"], contains, k)
 
 
 def any_two_hops(graph: Graph, k: int = 100) -> DataFrame:
-    edges = all_edges(graph)
+    edges = stage(all_edges(graph), "edges")
     return two_hops(edges, edges, k)
 
 
@@ -174,8 +177,8 @@ def paths_from(graph: Graph, start: DataFrame, k: int = 50, max_depth: int = 4)
     smallest paths of its length, k paths come before everything that continues
     it, so keeping k per step loses nothing.
     """
-    edges = all_edges(graph).select(F.col(":START_ID").alias("at"), F.col(":END_ID").alias("next"),
-                                    F.col(":ID").alias("edge"))
+    edges = stage(all_edges(graph).select(
+        F.col(":START_ID").alias("at"), F.col(":END_ID").alias("next"), F.col(":ID").alias("edge")), "edges")
     frontier = start.select(F.col(":ID").alias("origin"), F.col(":ID").alias("at"),
                             F.lit("").alias("edges")).distinct()
     found = None
@@ -239,14 +242,33 @@ def unhealthy_plants(graph: Graph) -> DataFrame:
             .select(F.col(":END_ID").alias("plant_id")).distinct())
 
 
+def _flagged_pairs(rows: DataFrame) -> DataFrame:
+    """Sensor and plant pairs with a bad event, from the wide rows.
+
+    A pair has one event per run, so its flags are the event's flags.
+    """
+    ph, humidity = F.col("iot_soil_ph"), F.col("iot_soil_humidity")
+    return (rows.groupBy("iot_sensor_id", "iot_plant_id")
+            .agg(F.max((ph < PH_LOW) | (ph > PH_HIGH)).alias("bad_ph"),
+                 F.max(humidity < HUMIDITY_LIMIT).alias("dry"))
+            .filter("bad_ph AND dry").drop("bad_ph", "dry"))
+
+
+def _plant_ids(pairs: DataFrame) -> DataFrame:
+    return pairs.select("iot_plant_id").distinct().select(
+        prefixed_id("PLANT", "iot_plant_id").alias("plant_id"))
+
+
+def unhealthy_by_sensor(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """``unhealthy_plants`` straight from the wide rows and their keys, without id joins."""
+    sensors = _flagged_pairs(rows).select("iot_sensor_id").distinct()
+    pairs = keys.select("iot_sensor_id", "iot_plant_id").distinct()
+    return _plant_ids(pairs.join(sensors, "iot_sensor_id", "left_semi"))
+
+
 def unhealthy_by_own_events(rows: DataFrame) -> DataFrame:
     """Plants with a bad event of their own, from the wide rows."""
-    ph, humidity = F.col("iot_soil_ph"), F.col("iot_soil_humidity")
-    flagged = rows.groupBy("iot_plant_id", "iot_sensor_id").agg(
-        F.max((ph < PH_LOW) | (ph > PH_HIGH)).alias("bad_ph"),
-        F.max(humidity < HUMIDITY_LIMIT).alias("dry"))
-    return (flagged.filter("bad_ph AND dry")
-            .select(F.concat(F.lit("PLANT_"), F.col("iot_plant_id")).alias("plant_id")).distinct())
+    return _plant_ids(_flagged_pairs(rows))
 
 
 def all_healthy(graph: Graph) -> DataFrame:

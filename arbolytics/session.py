@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -61,3 +62,10 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stage_all(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Stage independent tables at the same time."""
+    with ThreadPoolExecutor(max_workers=len(frames)) as pool:
+        jobs = {name: pool.submit(stage, df, name) for name, df in frames.items()}
+        return {name: job.result() for name, job in jobs.items()}

@@ -12,7 +12,7 @@ from arbolytics.functions.scalars import date_text, format_reading_time, to_int
 from arbolytics.operators.wide import wide_table, with_run
 from arbolytics.plans.graph_build import Graph, build_graph
 from arbolytics.plans.graph_spec import node_specs
-from arbolytics.session import stage
+from arbolytics.session import stage, stage_all
 from arbolytics.sources.schemas import FORECAST_METRICS
 from arbolytics.sources.streams import envelope
 
@@ -121,27 +121,62 @@ def traits(spark: SparkSession, folder: str) -> DataFrame:
                     F.col("p_brand").alias("plant_name")))
 
 
-def wide_rows(spark: SparkSession, folder: str, base: DataFrame | None = None) -> DataFrame:
-    """Wide rows with run date and event id.
+# What the keys of a wide row need of the two smaller feeds.
+WEATHER_KEYS = ["city", "prediction_date"]
+TRAIT_KEYS = ["Species_id", "plant_name"]
 
-    Weather and traits are aggregates of whole tables. Staged, they are
-    computed once and their true size decides how they are joined.
+
+def _feeds(spark: SparkSession, folder: str, keys_only: bool) -> dict[str, DataFrame]:
+    """Weather and traits, staged.
+
+    Both are aggregates of whole tables. Staged, they are computed once and
+    their true size decides how they are joined. Columns that are not asked
+    for are not aggregated.
     """
-    return with_run(wide_table(readings(spark, folder) if base is None else base,
-                               stage(weather(spark, folder), "weather"),
-                               stage(traits(spark, folder), "traits")), AS_OF)
+    w, t = weather(spark, folder), traits(spark, folder)
+    return stage_all({"weather": w.select(WEATHER_KEYS) if keys_only else w,
+                      "traits": t.select(TRAIT_KEYS) if keys_only else t})
+
+
+def _wide(base: DataFrame, feeds: dict[str, DataFrame]) -> DataFrame:
+    return with_run(wide_table(base, feeds["weather"], feeds["traits"]), AS_OF)
+
+
+def wide_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Every reading with all columns of the three feeds."""
+    return _wide(readings(spark, folder), _feeds(spark, folder, keys_only=False))
+
+
+def value_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Every reading with its metrics and the keys of the other feeds."""
+    return _wide(readings(spark, folder), _feeds(spark, folder, keys_only=True))
 
 
 def key_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Wide rows of the distinct reading keys: enough for keys, edges and counts."""
-    return wide_rows(spark, folder, reading_keys(spark, folder))
+    return _wide(reading_keys(spark, folder), _feeds(spark, folder, keys_only=True))
+
+
+def value_and_key_rows(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Both of the above over the same staged feeds."""
+    feeds = _feeds(spark, folder, keys_only=True)
+    return _wide(readings(spark, folder), feeds), _wide(reading_keys(spark, folder), feeds)
+
+
+def feed_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """As ``key_rows``, with all columns of weather and traits."""
+    return _wide(reading_keys(spark, folder), _feeds(spark, folder, keys_only=False))
+
+
+def graph(spark: SparkSession, folder: str, stage_keys: bool = False) -> Graph:
+    """The graph without the nodes that hold values; see ``full_graph``."""
+    return build_graph(key_rows(spark, folder), SPECS, stage_keys=stage_keys)
 
 
-def graph(spark: SparkSession, folder: str, stage_keys: bool = False, with_values: bool = False) -> Graph:
-    """The property graph. Nodes of sensor values need ``with_values``."""
-    rows = wide_rows(spark, folder) if with_values else key_rows(spark, folder)
-    keys = None if not with_values else key_rows(spark, folder)
-    return build_graph(rows, SPECS, keys, stage_keys)
+def full_graph(spark: SparkSession, folder: str) -> Graph:
+    """All tables. The rows are staged once; every table is read from them."""
+    rows = stage(wide_rows(spark, folder), "wide")
+    return build_graph(rows, SPECS)
 
 
 def event_readings(events: DataFrame) -> DataFrame:

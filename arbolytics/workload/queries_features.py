@@ -34,9 +34,10 @@ SCALED = """scaled AS (SELECT plant_id, sensor_id, sdid, plant_status, event_id,
 
 
 def _training(spark, folder) -> DataFrame:
-    g = B.graph(spark, folder, with_values=True, stage_keys=True)
-    status = Q.plant_status(Q.all_healthy(g), Q.unhealthy_plants(g))
-    return M.training_rows(B.wide_rows(spark, folder), B.SPECS["sensor_data"], status)
+    rows, keys = B.value_and_key_rows(spark, folder)
+    g = build_graph(rows, B.SPECS, keys, stage_keys=False)
+    status = Q.plant_status(Q.all_healthy(g), Q.unhealthy_by_sensor(rows, keys))
+    return M.training_rows(rows, B.SPECS["sensor_data"], status)
 
 
 @query("training_rows", sql.over_wide_ctes(TRAINING, "SELECT * FROM training"))
@@ -51,7 +52,7 @@ def training_rows(spark, folder):
      FROM sensor_values WHERE value IS NOT NULL AND label NOT IN ('iot_light', 'iot_motion')) GROUP BY ALL) v
     USING (sensor_id) GROUP BY ALL"""))
 def path_counts(spark, folder):
-    g = B.graph(spark, folder, with_values=True, stage_keys=True)
+    g = B.full_graph(spark, folder)
     return M.path_counts(*M.sensor_paths(g.edges, g.nodes["sensor_data"]))
 
 
@@ -189,12 +190,12 @@ MODEL_COLUMNS = [f"mean_{m}" for m in ("co", "smoke", "temp", "rainfall", "soil_
 
 def _scored(spark, folder) -> DataFrame:
     """Plants with two rounds of neighbour sums as features and their status as label."""
-    rows = B.wide_rows(spark, folder)
+    rows, keys = B.value_and_key_rows(spark, folder)
     means = [F.avg(f"iot_{c[5:]}").alias(c) for c in MODEL_COLUMNS]
     plant, sensor = F.concat(F.lit("PLANT_"), "iot_plant_id"), F.concat(F.lit("SENSOR_"), "iot_sensor_id")
     vertices = stage(rows.groupBy(plant.alias("vertex")).agg(*means).unionByName(
         rows.groupBy(sensor.alias("vertex")).agg(*means)), "vertex-features")
-    g = build_graph(rows, B.SPECS, B.key_rows(spark, folder))
+    g = build_graph(rows, B.SPECS, keys)
     measures = g.edges["measures"].select(F.explode(F.array(
         F.struct(F.col(":START_ID").alias("src"), F.col(":END_ID").alias("dst")),
         F.struct(F.col(":END_ID").alias("src"), F.col(":START_ID").alias("dst")))).alias("e")).select("e.*")

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from arbolytics.operators.quality import id_conflicts
 from arbolytics.plans import graph_queries as Q
-from arbolytics.plans.graph_build import build_date_nodes, build_edges, build_nodes, join_edges
+from arbolytics.plans.graph_build import (
+    Graph, LazyTables, build_date_nodes, build_edges, build_graph, build_nodes, join_edges)
 from arbolytics.plans.graph_spec import EDGES
 from arbolytics.workload import bindings as B
 from arbolytics.workload import sql
@@ -44,11 +45,12 @@ WIDE_NODE_SQL = {
 
 
 def _register_nodes() -> None:
-    # These need the metric values of every reading; the others follow from the distinct keys.
-    from_readings = {"sensor_data", "sensor_data_wide"}
+    # Metric values stand in every reading; all other nodes follow from the distinct keys.
+    rows_for = {"sensor_data": B.value_rows, "sensor_data_wide": B.value_rows, "weather_data": B.feed_rows,
+                "species_data": B.feed_rows, "species_data_wide": B.feed_rows}
 
     def maker(name):
-        rows = B.wide_rows if name in from_readings else B.key_rows
+        rows = rows_for.get(name, B.key_rows)
         return lambda spark, folder: plain(build_nodes(rows(spark, folder), B.SPECS[name]))
 
     for name, body in {**NODE_SQL, **WIDE_NODE_SQL}.items():
@@ -90,7 +92,7 @@ def edges_joined_nodes(spark, folder):
 @query("id_conflicts", sql.over_wide_ctes(sql.SENSOR_VALUES,
        "SELECT id, count(DISTINCT value) AS n_values FROM sensor_values GROUP BY id HAVING count(DISTINCT value) > 1"))
 def find_id_conflicts(spark, folder):
-    return plain(id_conflicts(build_nodes(B.wide_rows(spark, folder), B.SPECS["sensor_data"])))
+    return plain(id_conflicts(build_nodes(B.value_rows(spark, folder), B.SPECS["sensor_data"])))
 
 
 COUNTED = ("SELECT plant_name AS plant, count(*) AS number FROM (SELECT DISTINCT plant_id, species_id, plant_name FROM wide) "
@@ -243,21 +245,22 @@ UNHEALTHY = (f"{BAD_EVENTS}, unhealthy AS (SELECT DISTINCT plant_id FROM wide WH
 
 @query("unhealthy_plants", sql.over_wide_ctes(UNHEALTHY, "SELECT 'PLANT_' || plant_id AS plant_id FROM unhealthy"))
 def unhealthy_plants(spark, folder):
-    return Q.unhealthy_plants(B.graph(spark, folder, with_values=True, stage_keys=True))
+    return Q.unhealthy_plants(B.full_graph(spark, folder))
 
 
 @query("unhealthy_by_own_events", sql.over_wide_ctes(
     BAD_EVENTS, "SELECT DISTINCT 'PLANT_' || plant_id AS plant_id FROM wide JOIN bad USING (event_id)"))
 def unhealthy_by_own_events(spark, folder):
-    return Q.unhealthy_by_own_events(B.wide_rows(spark, folder))
+    return Q.unhealthy_by_own_events(B.value_rows(spark, folder))
 
 
 @query("plant_status", sql.over_wide_ctes(UNHEALTHY, """
     SELECT DISTINCT 'PLANT_' || plant_id AS plant_id,
            CASE WHEN plant_id IN (SELECT plant_id FROM unhealthy) THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS status FROM wide"""))
 def plant_status(spark, folder):
-    g = B.graph(spark, folder, with_values=True, stage_keys=True)
-    return Q.plant_status(Q.all_healthy(g), Q.unhealthy_plants(g))
+    rows, keys = B.value_and_key_rows(spark, folder)
+    g = build_graph(rows, B.SPECS, keys, stage_keys=False)
+    return Q.plant_status(Q.all_healthy(g), Q.unhealthy_by_sensor(rows, keys))
 
 
 @query("all_plants_healthy", sql.over_wide("SELECT DISTINCT 'PLANT_' || plant_id AS plant_id, 1.0::DOUBLE AS status FROM wide"))
@@ -285,19 +288,20 @@ def _sorted_values(order: str) -> str:
       FROM (SELECT DISTINCT value, id FROM sensor_values WHERE label = 'iot_soil_humidity')""")
 
 
-def _humidity_nodes(spark, folder):
-    g = B.graph(spark, folder, with_values=True)
-    return g
+def _value_graph(spark, folder) -> Graph:
+    """The sensor value nodes only."""
+    rows = B.value_rows(spark, folder)
+    return Graph(LazyTables({"sensor_data": lambda: build_nodes(rows, B.SPECS["sensor_data"])}), {})
 
 
 @query("values_sorted_text", _sorted_values("value"))
 def values_sorted_text(spark, folder):
-    return plain(Q.values_sorted(_humidity_nodes(spark, folder), "iot_soil_humidity"))
+    return plain(Q.values_sorted(_value_graph(spark, folder), "iot_soil_humidity"))
 
 
 @query("values_sorted_number", _sorted_values("CAST(value AS DOUBLE)"))
 def values_sorted_number(spark, folder):
-    return plain(Q.values_sorted(_humidity_nodes(spark, folder), "iot_soil_humidity", numeric=True))
+    return plain(Q.values_sorted(_value_graph(spark, folder), "iot_soil_humidity", numeric=True))
 
 
 @query("node_labels", sql.over_wide(
@@ -305,7 +309,7 @@ def values_sorted_number(spark, folder):
         f"'{x}'" for x in ["Garden", "Sensor", "Event", "Plant", "Species", "Location", "WeatherForecast", "Date",
                            *sql.SENSOR_LABELS, *sql.FORECAST_LABELS, *sql.TRAIT_LABELS]) + "]) AS label FROM wide)"))
 def node_labels(spark, folder):
-    return plain(Q.node_labels(B.graph(spark, folder, with_values=True, stage_keys=True)))
+    return plain(Q.node_labels(B.full_graph(spark, folder)))
 
 
 @query("edge_types", sql.over_edges(list(sql.EDGE_SOURCES), "SELECT DISTINCT type FROM e_all", sql.all_edges_cte()))

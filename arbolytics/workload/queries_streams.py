@@ -34,14 +34,14 @@ def _append(stream: DataFrame, name: str, folder: str | None = None, checkpoint:
 
 
 def _tidy(df: DataFrame) -> DataFrame:
-    """Window bounds without zone and averages to six places, for the comparison."""
+    """Window bounds without zone and averages to nine places, for the comparison."""
     out = []
     for f in df.schema:
         c = F.col(f.name)
         if f.name in ("window_start", "window_end"):
             c = c.cast("timestamp_ntz")
         elif f.dataType.simpleString() == "double":
-            c = F.round(c, 6)
+            c = F.round(c, 9)
         out.append(c.alias(f.name))
     return df.select(out)
 
@@ -59,7 +59,7 @@ def _windows(keys: str, columns: str, having: str = "", source: str = "er") -> s
 
 
 def _averages(names: dict[str, str]) -> str:
-    return ", ".join(f"round(avg({VALUE[m]}), 6) AS {out}" for m, out in names.items())
+    return ", ".join(f"round(avg({VALUE[m]}), 9) AS {out}" for m, out in names.items())
 
 
 @query("stream_avg_by_window", f"WITH {sql.EVENT_READINGS} {_windows('', _averages(A.WINDOW_AVERAGES))}")
@@ -84,7 +84,7 @@ def stream_count_by_window_key(spark, folder):
 
 @query("stream_sliding_avg", f"""WITH {sql.EVENT_READINGS}, hit AS (
     SELECT time_bucket(INTERVAL 5 MINUTE, t) - i * INTERVAL 5 MINUTE AS window_start, v FROM er, (VALUES (0), (1)) AS s(i))
-    SELECT window_start, window_start + INTERVAL 10 MINUTE AS window_end, round(avg(v), 6) AS average_temperature
+    SELECT window_start, window_start + INTERVAL 10 MINUTE AS window_end, round(avg(v), 9) AS average_temperature
     FROM hit GROUP BY window_start""")
 def stream_sliding_avg(spark, folder):
     plan = A.window_averages(_readings(spark, folder), {"temp": "average_temperature"}, "10 minutes", "5 minutes")
