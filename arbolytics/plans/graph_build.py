@@ -26,8 +26,8 @@ def long_values(rows: DataFrame, spec: NodeSpec, keep: tuple[str, ...] = ()) ->
     Null values stay, as they do in the wide form.
     """
     ids = list(dict.fromkeys([*spec.keys, *keep]))
-    text = rows.select(*ids, *[F.col(v).cast("string").alias(v) for v in spec.values])
-    return (text.unpivot(ids, list(spec.values), ":LABEL", "value")
+    pairs = [c for v in spec.values for c in (F.lit(v), F.col(v).cast("string"))]
+    return (rows.select(*ids, F.stack(F.lit(len(spec.values)), *pairs).alias(":LABEL", "value"))
             .withColumn(":ID", node_id(spec, F.col(":LABEL"))))
 
 

@@ -6,7 +6,7 @@ garden, the region the city, the part the plant and its brand the species.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from arbolytics.functions.scalars import date_text, format_reading_time, to_int
 from arbolytics.operators.wide import wide_table, with_run
@@ -26,8 +26,15 @@ REGIONS = ["AFRICA", "AMERICA", "ASIA"]
 COORDINATES = {"AFRICA": (1.5, 17.25), "AMERICA": (39.5, -98.25), "ASIA": (34.0, 100.5)}
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A given table. Its schema is read from the files once, not on every use."""
+    path = f"{folder}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def sensors(spark: SparkSession, folder: str) -> DataFrame:
