@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from arbolytics.functions.ids import uuid_id
 from arbolytics.functions.scalars import map_values, to_int
@@ -32,8 +32,12 @@ def wide_table(readings: DataFrame, weather: DataFrame, traits: DataFrame,
             .join(t, r["iot_species_id"] == t["plants_Species_id"], "inner"))
 
 
+def event_id() -> Column:
+    """Id of a sensor's readings of one plant in one run."""
+    return uuid_id("EVENT", "iot_sensor_id", "today", "iot_plant_id")
+
+
 def with_run(wide: DataFrame, as_of: str) -> DataFrame:
     """Run date, event id and rounded values; the input of the graph build."""
-    dated = wide.withColumn("today", F.lit(as_of)).withColumn(
-        "event_id", uuid_id("EVENT", "iot_sensor_id", "today", "iot_plant_id"))
+    dated = wide.withColumn("today", F.lit(as_of)).withColumn("event_id", event_id())
     return round_doubles(dated)

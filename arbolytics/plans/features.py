@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from arbolytics.functions.ids import prefixed_id
 from arbolytics.functions.scalars import min_max_scale, one_hot, to_double
-from arbolytics.plans.graph_build import long_values
+from arbolytics.plans.graph_build import long_values, raw_keys, stack_values
 from arbolytics.plans.graph_spec import NodeSpec
-from arbolytics.operators.ranking import number_rows
+from arbolytics.operators.ranking import number_rows, random_k
 
 ROW_ID = ["plant_id", "sensor_id", "sdid", "event_id"]
 # Labels that are no feature.
@@ -24,44 +25,57 @@ def training_rows(rows: DataFrame, sensor_data: NodeSpec, status: DataFrame,
     An event belongs to one plant and one sensor, so the rows grow with the
     readings. Null values and the labels in ``leave_out`` are no features.
     """
-    kept = tuple(v for v in sensor_data.values if v not in leave_out)
-    spec = NodeSpec(sensor_data.name, sensor_data.label, sensor_data.prefix, sensor_data.keys,
-                    sensor_data.kind, sensor_data.props, kept)
-    values = long_values(rows, spec, keep=("iot_plant_id",)).filter(F.col("value").isNotNull())
+    values = _measured(rows, sensor_data, leave_out, keep=("iot_plant_id",))
     flat = values.select(
         prefixed_id("PLANT", "iot_plant_id").alias("plant_id"),
         prefixed_id("SENSOR", "iot_sensor_id").alias("sensor_id"),
-        F.col(":ID").alias("sdid"), "event_id", "value", F.col(":LABEL").alias("value_label")).distinct()
+        F.col(":ID").alias("sdid"), "event_id", "value", F.col(":LABEL").alias("value_label"))
     return flat.join(status.select("plant_id", F.col("status").alias("plant_status")), "plant_id")
 
 
-def sensor_paths(graph_edges, values: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _kept(sensor_data: NodeSpec, leave_out: Sequence[str]) -> tuple[str, ...]:
+    return tuple(v for v in sensor_data.values if v not in leave_out)
+
+
+def _measured(rows: DataFrame, sensor_data: NodeSpec, leave_out: Sequence[str],
+              keep: tuple[str, ...] = ()) -> DataFrame:
+    spec = replace(sensor_data, values=_kept(sensor_data, leave_out))
+    return long_values(rows, spec, keep).filter(F.col("value").isNotNull())
+
+
+def sensor_paths(rows: DataFrame, keys: DataFrame, sensor_data: NodeSpec,
+                 leave_out: Sequence[str] = LEFT_OUT) -> tuple[DataFrame, DataFrame]:
     """Both halves of the Plant <- Sensor -> Event -> value paths.
 
     The paths of a sensor are all its plants times all its values. They are
-    kept as the two tables ``(sensor_id, plant_id)`` and ``(sensor_id,
-    event_id, sdid, value, value_label)``; a selection of either side can be
-    joined on ``sensor_id``, and counts need no join of rows (see
-    ``path_counts``). ``values`` are the sensor data nodes.
+    kept as the two tables ``(plant_id, sensor_id)`` and ``(sensor_id,
+    event_id, sdid, value, value_label)``. A selection of either side can be
+    joined on ``sensor_id``; counts need no such join (see ``path_counts``).
     """
-    plants = graph_edges["measures"].select(
-        F.col(":START_ID").alias("sensor_id"), F.col(":END_ID").alias("plant_id"))
-    registers = graph_edges["registers"].select(
-        F.col(":START_ID").alias("sensor_id"), F.col(":END_ID").alias("event_id"))
-    contains = graph_edges["contains"].select(
-        F.col(":START_ID").alias("event_id"), F.col(":END_ID").alias("sdid"))
-    wanted = values.filter(F.col("value").isNotNull() & ~F.col(":LABEL").isin(*LEFT_OUT)).select(
+    plants = keys.select("iot_plant_id", "iot_sensor_id").distinct().select(
+        prefixed_id("PLANT", "iot_plant_id").alias("plant_id"),
+        prefixed_id("SENSOR", "iot_sensor_id").alias("sensor_id"))
+    measured = _measured(rows, sensor_data, leave_out).select(
+        prefixed_id("SENSOR", "iot_sensor_id").alias("sensor_id"), "event_id",
         F.col(":ID").alias("sdid"), "value", F.col(":LABEL").alias("value_label"))
-    measured = wanted.join(contains, "sdid").join(registers, "event_id").select(
-        "sensor_id", "event_id", "sdid", "value", "value_label")
     return plants, measured
 
 
-def path_counts(plants: DataFrame, measured: DataFrame) -> DataFrame:
-    """Number of paths per plant and label, from counts per sensor."""
-    per_sensor = measured.groupBy("sensor_id", "value_label").agg(F.count(F.lit(1)).alias("n"))
-    return (plants.join(per_sensor, "sensor_id").groupBy("plant_id", "value_label")
-            .agg(F.sum("n").alias("n_paths")))
+def path_counts(rows: DataFrame, keys: DataFrame, sensor_data: NodeSpec,
+                leave_out: Sequence[str] = LEFT_OUT) -> DataFrame:
+    """Number of those paths per plant and label.
+
+    Values are counted per sensor first, on the raw keys and without ids; a
+    plant then adds up one number per sensor.
+    """
+    values = stack_values(rows, raw_keys(["event_id"]), _kept(sensor_data, leave_out)).filter(
+        F.col("value").isNotNull()).distinct()
+    per_sensor = values.groupBy("iot_sensor_id", F.col(":LABEL").alias("value_label")).agg(
+        F.count(F.lit(1)).alias("n"))
+    plants = keys.select("iot_plant_id", "iot_sensor_id").distinct()
+    return (plants.join(per_sensor, "iot_sensor_id").groupBy("iot_plant_id", "value_label")
+            .agg(F.sum("n").alias("n_paths"))
+            .select(prefixed_id("PLANT", "iot_plant_id").alias("plant_id"), "value_label", "n_paths"))
 
 
 class LabelScaler:
@@ -148,8 +162,6 @@ def with_split(rows: DataFrame, keys: Sequence[str], test_percent: int = 20, see
 
 def hold_out(rows: DataFrame, key: str, k: int = 5, seed: int = 42) -> DataFrame:
     """Moves k rows of the test part to a ``sample`` part for a demonstration."""
-    from arbolytics.operators.ranking import random_k
-
     picked = random_k(rows.filter("split = 'test'").select(key), key, k, seed)
     # picked has k rows.
     marked = F.broadcast(picked.withColumn("_picked", F.lit(True)))

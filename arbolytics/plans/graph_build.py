@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from arbolytics.functions.ids import prefixed_id, uuid_id
-from arbolytics.plans.graph_spec import EDGES, KEY_COLUMNS, EdgeSpec, NodeSpec, node_specs
+from arbolytics.operators.wide import event_id
+from arbolytics.plans.graph_spec import EDGES, EVENT_KEYS, KEY_COLUMNS, EdgeSpec, NodeSpec, node_specs
 from arbolytics.session import stage
 
 
@@ -20,15 +21,29 @@ def node_id(spec: NodeSpec, label: Column | None = None) -> Column:
     return uuid_id(spec.prefix, *spec.keys, *([label] if label is not None else []))
 
 
+def raw_keys(columns: Iterable[str]) -> list[str]:
+    """The columns without repeats, the event id replaced by the keys it is made of."""
+    out = [k for c in columns for k in (EVENT_KEYS if c == "event_id" else (c,))]
+    return list(dict.fromkeys(out))
+
+
+def add_event_id(rows: DataFrame, columns: Iterable[str]) -> DataFrame:
+    return rows.withColumn("event_id", event_id()) if "event_id" in columns else rows
+
+
+def stack_values(rows: DataFrame, keys: Iterable[str], values: Iterable[str]) -> DataFrame:
+    """Keys, ``:LABEL`` and ``value`` as text, one row per value column. Nulls stay."""
+    pairs = [c for v in values for c in (F.lit(v), F.col(v).cast("string"))]
+    return rows.select(*keys, F.stack(F.lit(len(pairs) // 2), *pairs).alias(":LABEL", "value"))
+
+
 def long_values(rows: DataFrame, spec: NodeSpec, keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per value column: keys, ``:LABEL``, ``value`` as text, ``:ID``.
+    """The distinct values of a long spec: raw keys, ``:LABEL``, ``value``, ``:ID``.
 
-    Null values stay, as they do in the wide form.
+    Copies are dropped on the short keys, before ids are hashed.
     """
-    ids = list(dict.fromkeys([*spec.keys, *keep]))
-    pairs = [c for v in spec.values for c in (F.lit(v), F.col(v).cast("string"))]
-    return (rows.select(*ids, F.stack(F.lit(len(spec.values)), *pairs).alias(":LABEL", "value"))
-            .withColumn(":ID", node_id(spec, F.col(":LABEL"))))
+    distinct = stack_values(rows, raw_keys([*spec.keys, *keep]), spec.values).distinct()
+    return add_event_id(distinct, spec.keys).withColumn(":ID", node_id(spec, F.col(":LABEL")))
 
 
 def build_nodes(rows: DataFrame, spec: NodeSpec) -> DataFrame:
@@ -38,9 +53,9 @@ def build_nodes(rows: DataFrame, spec: NodeSpec) -> DataFrame:
     aggregation does before the shuffle; ids are hashed afterwards.
     """
     if spec.values:
-        return long_values(rows, spec).select(":LABEL", "value", ":ID").distinct()
-    columns = list(dict.fromkeys([*spec.keys, *spec.props]))
-    return rows.select(columns).distinct().select(
+        return long_values(rows, spec).select(":LABEL", "value", ":ID")
+    columns = [*spec.keys, *spec.props]
+    return add_event_id(rows.select(raw_keys(columns)).distinct(), columns).select(
         *spec.props, node_id(spec).alias(":ID"), F.lit(spec.label).alias(":LABEL"))
 
 
@@ -53,12 +68,12 @@ def build_date_nodes(rows: DataFrame, specs: Mapping[str, NodeSpec]) -> DataFram
 def build_edges(rows: DataFrame, edge: EdgeSpec, specs: Mapping[str, NodeSpec]) -> DataFrame:
     """The distinct edges of one type, read off the rows that hold both keys."""
     start, end = specs[edge.start], specs[edge.end]
-    keys = list(dict.fromkeys([*start.keys, *end.keys]))
+    keys = raw_keys([*start.keys, *end.keys])
     # isNotNull and not dropna: the planner pushes it to the scan and knows the ids are not null.
     pairs = rows.select(keys)
     for key in keys:
         pairs = pairs.filter(F.col(key).isNotNull())
-    pairs = pairs.distinct()
+    pairs = add_event_id(pairs.distinct(), [*start.keys, *end.keys])
     label = None
     if end.values:
         pairs = pairs.select("*", F.explode(F.array(*[F.lit(v) for v in end.values])).alias("_label"))

@@ -89,4 +89,7 @@ EDGES = {
 # Columns from which every edge and every node without metric values follows.
 KEY_COLUMNS = ("iot_garden_id", "iot_garden_name", "iot_sensor_id", "iot_plant_id",
                "iot_species_id", "plants_plant_name", "weather_city", "weather_prediction_date",
-               "today", "event_id")
+               "today")
+
+# The event id is a hash of these; tables are reduced on them and hashed afterwards.
+EVENT_KEYS = ("iot_sensor_id", "today", "iot_plant_id")

@@ -52,8 +52,7 @@ def training_rows(spark, folder):
      FROM sensor_values WHERE value IS NOT NULL AND label NOT IN ('iot_light', 'iot_motion')) GROUP BY ALL) v
     USING (sensor_id) GROUP BY ALL"""))
 def path_counts(spark, folder):
-    g = B.full_graph(spark, folder)
-    return M.path_counts(*M.sensor_paths(g.edges, g.nodes["sensor_data"]))
+    return M.path_counts(*B.value_and_key_rows(spark, folder), B.SPECS["sensor_data"])
 
 
 @query("minmax_scaled", sql.over_wide_ctes(f"{TRAINING}, {SCALED}", """
