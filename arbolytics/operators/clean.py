@@ -32,7 +32,8 @@ def relax_nullability(df: DataFrame) -> DataFrame:
             return T.MapType(dt.keyType, loose(dt.valueType), True)
         return dt
 
-    return df.to(loose(df.schema))
+    # A union is nullable where one side is; the optimizer removes the empty side.
+    return df.sparkSession.createDataFrame([], loose(df.schema)).union(df)
 
 
 def round_doubles(df: DataFrame, places: int = 3) -> DataFrame:
