@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from arbolytics.functions.ids import prefixed_id
 from arbolytics.functions.scalars import min_max_scale, one_hot, to_double
-from arbolytics.plans.graph_build import long_values, raw_keys, stack_values
+from arbolytics.plans.graph_build import distinct_values, long_values, raw_keys
 from arbolytics.plans.graph_spec import NodeSpec
 from arbolytics.operators.ranking import number_rows, random_k
 
@@ -68,8 +68,8 @@ def path_counts(rows: DataFrame, keys: DataFrame, sensor_data: NodeSpec,
     Values are counted per sensor first, on the raw keys and without ids; a
     plant then adds up one number per sensor.
     """
-    values = stack_values(rows, raw_keys(["event_id"]), _kept(sensor_data, leave_out)).filter(
-        F.col("value").isNotNull()).distinct()
+    values = distinct_values(rows, raw_keys(["event_id"]), _kept(sensor_data, leave_out)).filter(
+        F.col("value").isNotNull())
     per_sensor = values.groupBy("iot_sensor_id", F.col(":LABEL").alias("value_label")).agg(
         F.count(F.lit(1)).alias("n"))
     plants = keys.select("iot_plant_id", "iot_sensor_id").distinct()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from arbolytics.functions.ids import prefixed_id, uuid_id
 from arbolytics.operators.wide import event_id
 from arbolytics.plans.graph_spec import EDGES, EVENT_KEYS, KEY_COLUMNS, EdgeSpec, NodeSpec, node_specs
-from arbolytics.session import stage
+from arbolytics.session import stage, stage_all
 
 
 def node_id(spec: NodeSpec, label: Column | None = None) -> Column:
@@ -31,10 +31,31 @@ def add_event_id(rows: DataFrame, columns: Iterable[str]) -> DataFrame:
     return rows.withColumn("event_id", event_id()) if "event_id" in columns else rows
 
 
-def stack_values(rows: DataFrame, keys: Iterable[str], values: Iterable[str]) -> DataFrame:
-    """Keys, ``:LABEL`` and ``value`` as text, one row per value column. Nulls stay."""
-    pairs = [c for v in values for c in (F.lit(v), F.col(v).cast("string"))]
-    return rows.select(*keys, F.stack(F.lit(len(pairs) // 2), *pairs).alias(":LABEL", "value"))
+def distinct_values(rows: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """Distinct keys, ``:LABEL`` and ``value`` as text over the value columns. Nulls stay.
+
+    Each row becomes one row per value column before copies are dropped, so
+    this is the widest step of the graph build. If all values are doubles or
+    booleans, copies are dropped on a column number and a double; names and
+    text are put back afterwards. (-0.0 counts as 0.0.)
+    """
+    types = {f.name: f.dataType.simpleString() for f in rows.schema}
+    if all(types[v] in ("double", "boolean") for v in values):
+        def parts(i: int, v: str) -> list[Column]:
+            return [F.lit(i), F.col(v).cast("double")]
+
+        flags = [i for i, v in enumerate(values) if types[v] == "boolean"]
+        label = F.get(F.array(*[F.lit(v) for v in values]), F.col("_l"))
+        text = F.when(F.col("_l").isin(flags), (F.col("_v") == 1.0).cast("string")).otherwise(
+            F.col("_v").cast("string"))
+    else:
+        def parts(i: int, v: str) -> list[Column]:
+            return [F.lit(v), F.col(v).cast("string")]
+
+        label, text = F.col("_l"), F.col("_v")
+    pairs = [c for i, v in enumerate(values) for c in parts(i, v)]
+    distinct = rows.select(*keys, F.stack(F.lit(len(values)), *pairs).alias("_l", "_v")).distinct()
+    return distinct.select(*keys, label.alias(":LABEL"), text.alias("value"))
 
 
 def long_values(rows: DataFrame, spec: NodeSpec, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -42,7 +63,7 @@ def long_values(rows: DataFrame, spec: NodeSpec, keep: tuple[str, ...] = ()) ->
 
     Copies are dropped on the short keys, before ids are hashed.
     """
-    distinct = stack_values(rows, raw_keys([*spec.keys, *keep]), spec.values).distinct()
+    distinct = distinct_values(rows, raw_keys([*spec.keys, *keep]), spec.values)
     return add_event_id(distinct, spec.keys).withColumn(":ID", node_id(spec, F.col(":LABEL")))
 
 
@@ -157,6 +178,17 @@ def build_graph(rows: DataFrame, specs: Mapping[str, NodeSpec] | None = None,
     return Graph(LazyTables(nodes), LazyTables(edges))
 
 
+def stored(graph: Graph, nodes: Sequence[str] = (), edges: Sequence[str] = ()) -> Graph:
+    """The named tables, written out at the same time and read back.
+
+    Questions that join on ids should run on stored tables: ids are then
+    hashed once and not again in every filter and join that mentions them.
+    """
+    found = stage_all({**{f"node-{n}": graph.nodes[n] for n in nodes},
+                       **{f"edge-{e}": graph.edges[e] for e in edges}})
+    return Graph({n: found[f"node-{n}"] for n in nodes}, {e: found[f"edge-{e}"] for e in edges})
+
+
 def all_nodes(graph: Graph) -> DataFrame:
     """Ids and labels of all node tables."""
     return _union([t.select(":ID", ":LABEL") for t in graph.nodes.values()])

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from arbolytics.operators.quality import id_conflicts
 from arbolytics.plans import graph_queries as Q
 from arbolytics.plans.graph_build import (
-    Graph, LazyTables, build_date_nodes, build_edges, build_graph, build_nodes, join_edges)
+    Graph, LazyTables, build_date_nodes, build_edges, build_graph, build_nodes, join_edges,
+    stored)
 from arbolytics.plans.graph_spec import EDGES
 from arbolytics.workload import bindings as B
 from arbolytics.workload import sql
@@ -245,7 +246,9 @@ UNHEALTHY = (f"{BAD_EVENTS}, unhealthy AS (SELECT DISTINCT plant_id FROM wide WH
 
 @query("unhealthy_plants", sql.over_wide_ctes(UNHEALTHY, "SELECT 'PLANT_' || plant_id AS plant_id FROM unhealthy"))
 def unhealthy_plants(spark, folder):
-    return Q.unhealthy_plants(B.full_graph(spark, folder))
+    rows, keys = B.value_and_key_rows(spark, folder)
+    g = build_graph(rows, B.SPECS, keys)
+    return Q.unhealthy_plants(stored(g, ["sensor_data"], ["contains", "registers", "measures"]))
 
 
 @query("unhealthy_by_own_events", sql.over_wide_ctes(

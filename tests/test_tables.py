@@ -148,3 +148,23 @@ def test_quarantine(spark):
     assert good.count() == 3 and rejected.count() == 4
     assert good.columns == [*READING.fieldNames(), "event_time"]
     assert parse_readings(sent.unionByName(bad)).count() == 7
+
+
+def test_counts_while_writing(spark, folder):
+    rows, seen = quality.counted(X.readings(spark), "readings", ["plant_id"])
+    tables.write_parquet(rows, f"{folder}/t")
+    assert seen.get == {"rows": 48, "plant_id": 48}
+
+
+def test_folder_without_setting(monkeypatch):
+    from types import SimpleNamespace
+
+    from arbolytics import session
+
+    def fake(master):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: None),
+                               sparkContext=SimpleNamespace(master=master, applicationId=master))
+
+    assert session.shared_folder(fake("local[2]")) == session.shared_folder(fake("local[2]"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_folder(fake("yarn"))
