@@ -8,6 +8,7 @@ from arbolytics.functions.ids import uuid_id
 from arbolytics.functions.scalars import (
     date_text, folder_date, format_reading_time, map_values, partition_value)
 from arbolytics.operators import clean, quality
+from arbolytics.operators.ranking import count_per
 from arbolytics.operators.wide import wide_table
 from arbolytics.session import fresh_path, stage
 from arbolytics.sinks import messages, tables
@@ -41,10 +42,11 @@ def wide_join(spark, folder):
     WHERE NOT EXISTS (SELECT 1 FROM weather WHERE replace(city, ' ', '_') = location) GROUP BY location""")
 def unmatched_locations(spark, folder):
     feed = B.weather(spark, folder).withColumn("city", F.replace("city", F.lit(" "), F.lit("_")))
-    per_sensor = B.table(spark, folder, "lineitem").select("l_suppkey").join(
+    # Readings are counted per sensor before sensors are joined.
+    per_sensor = count_per(B.table(spark, folder, "lineitem"), "l_suppkey").join(
         B.sensors(spark, folder).select("s_suppkey", "location"),
         F.col("l_suppkey") == F.col("s_suppkey"))
-    return quality.unmatched_keys(per_sensor, feed, "location", "city")
+    return quality.unmatched_keys(per_sensor, feed, "location", "city", weight="number")
 
 
 @query("alias_join_counts", f"""WITH {sql.READINGS}, {sql.WEATHER}, {sql.TRAIT_TABLE}
