@@ -3,15 +3,36 @@
 from __future__ import annotations
 
 import math
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+import arbolytics
 
 # Fixed value: white space between words, as a set of bytes (blank and 9 to 13).
 WORD_SPACES = b" \t\n\x0b\x0c\r"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package's code to the executors, once for each application."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        package = Path(arbolytics.__file__).parent
+        archive = Path(tempfile.mkdtemp(prefix="arbolytics-code-")) / "arbolytics_code.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for source in sorted(package.rglob("*.py")):
+                out.write(source, source.relative_to(package.parent))
+        context.addPyFile(str(archive))  # the driver serves it; executors fetch a copy each
+        _SHIPPED.add(context.applicationId)
+
+
 def text_bytes(df: DataFrame, column: str = "text") -> int:
     """UTF-8 bytes of a text column, by one aggregate."""
     return df.agg(F.sum(F.octet_length(F.col(f"`{column}`").cast("string")))).first()[0] or 0
