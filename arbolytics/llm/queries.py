@@ -7,8 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from arbolytics.llm import byte_bpe, token_files
+from arbolytics.llm import byte_bpe, decontaminate, html_text, token_files, warc
 from arbolytics.llm.common import ship
+from arbolytics.session import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -46,3 +47,28 @@ def op4_token_files(spark, sf_dir):
 def op7_byte_bpe(spark, sf_dir):
     """Ids of every text and the bytes they decode to, as digests."""
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(RANK_FILE), public_tokenizers.PATTERN)
+
+
+@query("op5_html_text")
+def op5_html_text(spark, sf_dir):
+    """Main text of every page."""
+    return html_text.extract_text(table(spark, sf_dir, "pages"))
+
+
+@query("op8_warc", """
+    WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+    q AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last_id FROM p)
+    SELECT page_id, payload_bytes, payload_digest,
+           CASE WHEN payload_bytes >= 1000 AND page_id < last_id THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN payload_bytes >= 1000 AND page_id < last_id THEN last_id END AS refers_to
+    FROM q""")
+def op8_warc(spark, sf_dir):
+    """A record for each page, written and read back through the index."""
+    index = warc.write_archives(warc.classify(table(spark, sf_dir, "pages")), fresh_path(spark, "warc"))
+    return warc.read_records(index, with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op9_decontaminate")
+def op9_decontaminate(spark, sf_dir):
+    """Benchmark items in every document."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

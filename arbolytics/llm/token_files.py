@@ -175,7 +175,7 @@ def write_token_files(df: DataFrame, folder: str, tokenizer_file: str, end_id: i
                 fs, root = pafs.FileSystem.from_uri(folder)
                 fs.create_dir(root, recursive=True)
                 name = f"part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.ids"
-                out = fs.open_output_stream(f"{root}/{name}")
+                out = fs.open_output_stream(f"{root}/{name}", compression=None)
                 writer = FileWriter(out, frame_bytes)
             texts = texts_of(batch.column("text"))
             ids.extend(batch.column("doc_id").to_pylist())
