@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from arbolytics.llm import byte_bpe, decontaminate, html_text, token_files, warc
+from arbolytics.llm import byte_bpe, decontaminate, html_text, substring_dedup, token_files, warc
 from arbolytics.llm.common import ship
 from arbolytics.session import fresh_path
 
@@ -35,6 +35,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op2_substring_dedup", r"""
+    WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+    s AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM w),
+    win AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + 49], ' ')) AS k FROM s),
+    least AS (SELECT k, min(doc_id) AS m FROM win GROUP BY k),
+    gone AS (SELECT DISTINCT doc_id, i + unnest(range(0, 50)) AS j FROM win JOIN least USING (k) WHERE m < doc_id),
+    u AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS j FROM w),
+    kept AS (SELECT u.doc_id, string_agg(word, ' ' ORDER BY u.j) FILTER (gone.j IS NULL) AS t, count(gone.j) AS n
+             FROM u LEFT JOIN gone ON u.doc_id = gone.doc_id AND u.j = gone.j GROUP BY u.doc_id)
+    SELECT w.doc_id, len(ws) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+    FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id""")
+def op2_substring_dedup(spark, sf_dir):
+    """Words left after passages of 50 words that stand in an earlier document are removed."""
+    found = substring_dedup.substring_dedup(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 @query("op4_token_files")
 def op4_token_files(spark, sf_dir):
     """Token files written in id order, and what stands in them for each document."""
