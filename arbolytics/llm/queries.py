@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from arbolytics.llm import byte_bpe, decontaminate, html_text, substring_dedup, token_files, warc
+from arbolytics.llm import byte_bpe, decontaminate, html_text, ngram_join, substring_dedup, token_files, warc
 from arbolytics.llm.common import ship
 from arbolytics.session import fresh_path
 
@@ -60,6 +60,28 @@ def op4_token_files(spark, sf_dir):
     return token_files.read_token_files(manifest, with_ids=False)
 
 
+@query("op6_ngram_join", r"""
+    WITH RECURSIVE w AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                          '[^\x20\x09-\x0D]+') AS ws FROM documents),
+    s AS (SELECT doc_id, list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+                 ELSE list_transform(range(1, len(ws) - 1), lambda i: array_to_string(ws[i:i + 2], ' ')) END) AS g FROM w),
+    t AS (SELECT doc_id, list_sort(g) AS g FROM s),
+    sets AS (SELECT g, len(g) AS n, min(doc_id) AS node FROM t WHERE len(g) > 0 GROUP BY g),
+    e AS (SELECT node, n, unnest(g) AS x FROM sets),
+    links AS (SELECT a.node AS u, b.node AS v FROM e a JOIN e b ON a.x = b.x AND a.node < b.node AND a.n * 100 >= b.n * 90 AND b.n * 100 >= a.n * 90
+              GROUP BY a.node, a.n, b.node, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+    both_ways AS (SELECT u, v FROM links UNION ALL SELECT v, u FROM links),
+    reach AS (SELECT node, node AS seen FROM sets UNION SELECT r.node, b.v FROM reach r JOIN both_ways b ON r.seen = b.u),
+    named AS (SELECT node, min(seen) AS component_id FROM reach GROUP BY node)
+    SELECT t.doc_id, len(t.g) AS n_shingles, coalesce(component_id, t.doc_id) AS component_id
+    FROM t LEFT JOIN sets USING (g) LEFT JOIN named USING (node)""")
+def op6_ngram_join(spark, sf_dir):
+    """Classes of documents whose word 3-grams are nearly equal."""
+    found = ngram_join.ngram_components(table(spark, sf_dir, "documents"), length=3, parts=90)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 @query("op7_byte_bpe")
 def op7_byte_bpe(spark, sf_dir):
     """Ids of every text and the bytes they decode to, as digests."""
