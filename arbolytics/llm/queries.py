@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from arbolytics.llm import byte_bpe, decontaminate, html_text, ngram_join, substring_dedup, token_files, warc
+from arbolytics.llm import byte_bpe, decontaminate, html_text, language_id, ngram_join, substring_dedup, token_files, warc
 from arbolytics.llm.common import ship
 from arbolytics.session import fresh_path
 
@@ -35,6 +35,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_language_id")
+def op1_language_id(spark, sf_dir):
+    """The language of every document, learned from the texts that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    found = language_id.identify(docs, learn=~language_id.held_out(F.col("doc_id")))
+    return found.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected", "cross_entropy")
+
+
 @query("op2_substring_dedup", r"""
     WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
     s AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM w),
