@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from arbolytics.llm import byte_bpe, decontaminate, html_text, language_id, ngram_join, substring_dedup, token_files, warc
+from arbolytics.llm import byte_bpe, decontaminate, html_text, language_id, neighbours, ngram_join, substring_dedup, token_files, warc
 from arbolytics.llm.common import ship
 from arbolytics.session import fresh_path
 
@@ -60,6 +60,13 @@ def op2_substring_dedup(spark, sf_dir):
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+@query("op3_neighbours")
+def op3_neighbours(spark, sf_dir):
+    """The 20 nearest vectors found for every twentieth vector."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, vectors.filter("vec_id % 20 = 0"), k=20)
+
+
 @query("op4_token_files")
 def op4_token_files(spark, sf_dir):
     """Token files written in id order, and what stands in them for each document."""
