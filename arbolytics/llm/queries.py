@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from arbolytics.llm import byte_bpe, decontaminate, html_text, language_id, neighbours, ngram_join, substring_dedup, token_files, warc
+from arbolytics.llm import byte_bpe, decontaminate, html_text, language_id, line_dedup, neighbours, ngram_join, substring_dedup, token_files, warc
 from arbolytics.llm.common import ship
 from arbolytics.session import fresh_path
 
@@ -126,3 +126,10 @@ def op8_warc(spark, sf_dir):
 def op9_decontaminate(spark, sf_dir):
     """Benchmark items in every document."""
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op10_line_dedup")
+def op10_line_dedup(spark, sf_dir):
+    """Every document without the lines that repeat an earlier one."""
+    found = line_dedup.line_dedup(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
