@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from arbolytics.llm import packed
 from arbolytics.llm.common import bare, hash_group, pieces, text_bytes
@@ -69,7 +69,7 @@ def with_signatures(length: int):
         for batch in batches:
             sets, cuts = shingle_sets(batch.column("text"), length)
             a, b = signatures(sets, cuts)
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "n_shingles": np.diff(cuts), "s1": a, "s2": b})
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "row": batch.column("row"), "n_shingles": np.diff(cuts), "s1": a, "s2": b})
 
     return run
 
@@ -145,7 +145,8 @@ def _ordered(length: int, parts: int, whole: int):
 def candidate_sets(rows: DataFrame, length: int, parts: int, whole: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Staged: documents with signatures; nodes; ordered sets of the nodes that can have a partner."""
     n = pieces(text_bytes(rows), GROUP_BYTES)
-    signed = stage(rows.mapInArrow(with_signatures(length), "doc_id long, n_shingles long, s1 long, s2 long"), "ngram-documents")
+    signed = stage(rows.withColumn("row", row_hash(F.col("text"))).mapInArrow(
+        with_signatures(length), "doc_id long, row long, n_shingles long, s1 long, s2 long"), "ngram-documents")
     nodes = stage(signed.filter("n_shingles > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("doc_id"))
                   .withColumn("node", F.monotonically_increasing_id()).withColumn("grp", hash_group("doc_id", n)), "ngram-nodes")
     docs = rows.withColumn("grp", hash_group("doc_id", n))
@@ -233,7 +234,7 @@ def near_sets(sets: DataFrame, parts: int, whole: int, fragments: int) -> DataFr
 
 def ngram_components(df: DataFrame, length: int = 5, parts: int = 80, whole: int = 100, fragments: int = 4,
                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, and the two sums s1, s2 that name a row's set, for every row.
+    """doc_id, n_shingles and component_id of every row; row (a hash of its text) and component (a number of its class).
 
     Sets are the distinct n-grams of ``length`` words (A-Z count as a-z; words are runs of other than
     ASCII white space); fewer words count as one n-gram. Two rows are linked when
@@ -250,8 +251,29 @@ def ngram_components(df: DataFrame, length: int = 5, parts: int = 80, whole: int
     placed = nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     placed = stage(placed, "ngram-placed")
     smallest = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named = stage(placed.join(smallest, "component").select("s1", "s2", "component_id"), "ngram-named")
+    named = stage(placed.join(smallest, "component").select("s1", "s2", "component", "component_id"), "ngram-named")
     out = signed.join(named, ["s1", "s2"], "left")
     known = lambda c: F.when(F.col(c) != NONE, F.col(c))
     return out.select(known("doc_id").alias("doc_id"), F.col("n_shingles"),
-                      F.when(F.col("n_shingles") == 0, known("doc_id")).otherwise(known("component_id")).alias("component_id"), "s1", "s2")
+                      F.when(F.col("n_shingles") == 0, known("doc_id")).otherwise(known("component_id")).alias("component_id"), "row", "component")
+
+
+def keep_first(df: DataFrame, classes: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``df`` that are the first of their class, by id and then by a hash of the text; all columns pass.
+
+    ``classes`` is what ``ngram_components`` gave for ``df``. Rows without words are in no class and
+    stay. Of rows with equal id and text in a class one stays.
+    """
+    ids = classes.select(F.coalesce("doc_id", F.lit(NONE)).alias("_doc"), F.col("row").alias("_row"), "component", "n_shingles")
+    first = (ids.filter("n_shingles > 0").groupBy("component", "_doc", "_row").agg(F.count(F.lit(1)).alias("_copies"))
+             .groupBy("component").agg(F.min(F.struct("_doc", "_row", "_copies")).alias("f")).select("f.*"))
+    kept = stage(first.union(ids.filter("n_shingles = 0").select("_doc", "_row", F.lit(1).cast("long")).distinct()), "ngram-kept")
+    keyed = df.withColumns({"_doc": F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NONE)), "_row": row_hash(F.col(f"`{text_col}`"))})
+    found = keyed.join(kept, ["_doc", "_row"])
+    if kept.filter("_copies > 1").isEmpty():
+        return found.select(df.columns)
+    return found.filter("_copies = 1").union(found.filter("_copies > 1").dropDuplicates(["_doc", "_row"])).select(df.columns)
+
+
+def row_hash(text: Column) -> Column:
+    return F.xxhash64(text.cast("string"))

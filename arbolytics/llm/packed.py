@@ -76,6 +76,8 @@ def gather(groups: list[int], blobs: list[bytes]) -> tuple[np.ndarray, list[np.n
 def answer(owner: np.ndarray, wanted: np.ndarray, keys: np.ndarray, *columns: np.ndarray) -> list[tuple[int, int, bytes]]:
     """Rows (-1, group, blob) that send the wanted entries back to their groups; keys stay ascending."""
     at = np.flatnonzero(wanted)
+    if not len(at):
+        return []
     at = at[np.argsort(owner[at], kind="stable")]
     groups, firsts = np.unique(owner[at], return_index=True)
     return [(-1, int(g), pack(keys[part], *(c[part] for c in columns)))
