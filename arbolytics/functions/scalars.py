@@ -29,10 +29,18 @@ def folder_date(path: Column) -> Column:
     return F.try_to_date(F.regexp_extract(path, r"(\d{4}-\d{2}-\d{2})", 1), "yyyy-MM-dd")
 
 
+def decode_url(text: Column) -> Column:
+    """Percent codes decoded; a plus sign stays one."""
+    return F.try_url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
+
+
 def partition_value(path: Column, key: str) -> Column:
-    """The value of ``key=value`` in a path, percent signs decoded."""
+    """The value of ``key=value`` in a folder's path, without the escapes of folder names.
+
+    Paths of ``_metadata.file_path`` are escaped once more; ``with_source_file`` undoes that.
+    """
     raw = F.regexp_extract(path, f"(?:^|/){key}=([^/]*)", 1)
-    return F.when(raw == "", None).otherwise(F.try_url_decode(F.replace(raw, F.lit("+"), F.lit("%2B"))))
+    return F.when(raw == "", None).otherwise(decode_url(raw))
 
 
 def has_suffix(path: Column, suffix: str) -> Column:
@@ -58,14 +66,6 @@ def species_of_pair(pair: Column) -> Column:
     return F.split_part(pair, F.lit(":"), F.lit(2))
 
 
-def row_json() -> Column:
-    return F.to_json(F.struct("*"))
-
-
-def from_row_json(text: Column, schema: T.StructType) -> Column:
-    return F.from_json(text, schema)
-
-
 def to_int(value: Column) -> Column:
     """Integer of a number or a text; null instead of an error.
 

@@ -12,9 +12,12 @@ from arbolytics.operators.clean import prefix_columns, round_doubles
 
 
 def wide_table(readings: DataFrame, weather: DataFrame, traits: DataFrame,
-               city_aliases: Mapping[str, str] | None = None) -> DataFrame:
+               city_aliases: Mapping[str, str] | None = None, forecast_day: str | None = None) -> DataFrame:
     """Inner join of the three feeds; columns get the prefixes of their feed.
 
+    ``forecast_day`` (ISO text) selects one day of a weather table that holds
+    several, before the join: else a reading is repeated for each stored day of its city.
+
     No side carries a broadcast hint: the planner broadcasts weather and traits
     when their (staged or stored) size is below the session threshold and
     otherwise sorts and merges, where adaptive execution splits a frequent
@@ -25,6 +28,8 @@ def wide_table(readings: DataFrame, weather: DataFrame, traits: DataFrame,
         fixed = map_values(F.col("iot_location"), city_aliases)
         r = r.withColumn("iot_location", F.coalesce(fixed, F.col("iot_location")))
     r = r.withColumn("iot_species_id", to_int(F.col("iot_species_id")))
+    if forecast_day is not None:
+        weather = weather.filter(F.col("prediction_date").cast("string") == forecast_day)
     w = prefix_columns(weather, "weather_")
     t = prefix_columns(traits, "plants_").withColumn(
         "plants_Species_id", to_int(F.col("plants_Species_id")))

@@ -23,14 +23,17 @@ def training_rows(rows: DataFrame, sensor_data: NodeSpec, status: DataFrame,
     """One row per plant, sensor, event and value of the plant's own events.
 
     An event belongs to one plant and one sensor, so the rows grow with the
-    readings. Null values and the labels in ``leave_out`` are no features.
+    readings. Null values and the labels in ``leave_out`` are no features. The status
+    meets the readings before they become one row per value, so the widest step is
+    shuffled once.
     """
-    values = _measured(rows, sensor_data, leave_out, keep=("iot_plant_id",))
-    flat = values.select(
+    known = status.select(F.col("plant_id").alias("_plant"), F.col("status").alias("plant_status"))
+    rows = rows.join(known, prefixed_id("PLANT", "iot_plant_id") == F.col("_plant")).drop("_plant")
+    values = _measured(rows, sensor_data, leave_out, keep=("iot_plant_id", "plant_status"))
+    return values.select(
         prefixed_id("PLANT", "iot_plant_id").alias("plant_id"),
         prefixed_id("SENSOR", "iot_sensor_id").alias("sensor_id"),
-        F.col(":ID").alias("sdid"), "event_id", "value", F.col(":LABEL").alias("value_label"))
-    return flat.join(status.select("plant_id", F.col("status").alias("plant_status")), "plant_id")
+        F.col(":ID").alias("sdid"), "event_id", "value", F.col(":LABEL").alias("value_label"), "plant_status")
 
 
 def _kept(sensor_data: NodeSpec, leave_out: Sequence[str]) -> tuple[str, ...]:
@@ -91,9 +94,12 @@ class LabelScaler:
     @classmethod
     def fit(cls, rows: DataFrame, labels: Sequence[str], label: str = "value_label",
             value: str = "value") -> "LabelScaler":
-        found = (rows.filter(F.col(label).isin(list(labels))).groupBy(label)
-                 .agg(F.min(to_double(F.col(value))).alias("low"),
-                      F.max(to_double(F.col(value))).alias("high")).collect())
+        """Bounds of the given labels; a label of the data that is not given raises."""
+        found = (rows.groupBy(label).agg(F.min(to_double(F.col(value))).alias("low"),
+                                         F.max(to_double(F.col(value))).alias("high")).limit(len(labels) + 2).collect())
+        unknown = sorted(str(r[label]) for r in found if r[label] is not None and r[label] not in labels)
+        if unknown:
+            raise ValueError(f"labels without a place among the features: {', '.join(unknown)}")
         return cls({r[label]: (r["low"], r["high"]) for r in found if r["low"] is not None})
 
     def scaled(self, label: Column, value: Column) -> Column:

@@ -152,48 +152,56 @@ def any_two_hops(graph: Graph, k: int = 100) -> DataFrame:
     return two_hops(edges, edges, k)
 
 
-def reachable(graph: Graph, start: DataFrame, max_depth: int = 4) -> DataFrame:
+def reachable(graph: Graph, start: DataFrame, max_depth: int | None = None) -> DataFrame:
     """Vertices reachable from each start vertex, with the least number of hops.
 
-    Set based: each step keeps distinct (start, vertex) pairs, never paths, and
-    is staged, so that no step is computed again by the next one.
+    Set based: each step keeps distinct (start, vertex) pairs that no earlier step found,
+    never paths, so cycles end by themselves and a vertex is expanded once. It ends
+    when a step finds nothing new, or at ``max_depth`` if the caller sets one. Every step is staged.
     """
     edges = stage(all_edges(graph).select(
-        F.col(":START_ID").alias("at"), F.col(":END_ID").alias("next")), "reach-edges")
+        F.col(":START_ID").alias("at"), F.col(":END_ID").alias("next")).distinct(), "reach-edges")
     frontier = start.select(F.col(":ID").alias("origin"), F.col(":ID").alias("at")).distinct()
-    found = None
-    for depth in range(1, max_depth + 1):
+    found, depth = None, 0
+    while max_depth is None or depth < max_depth:
+        depth += 1
         step = frontier.join(edges, "at").select("origin", F.col("next").alias("at")).distinct()
+        if found is not None:
+            step = step.join(found.select("origin", "at"), ["origin", "at"], "left_anti")
         frontier = stage(step, "reach-step")
         level = frontier.withColumn("hops", F.lit(depth))
         found = level if found is None else found.unionByName(level)
-    return found.groupBy("origin", F.col("at").alias("vertex")).agg(F.min("hops").alias("hops"))
+        if frontier.isEmpty():
+            break
+    return found.select("origin", F.col("at").alias("vertex"), "hops")
 
 
-def paths_from(graph: Graph, start: DataFrame, k: int = 50, max_depth: int = 4) -> DataFrame:
+def paths_from(graph: Graph, start: DataFrame, k: int = 50, max_depth: int | None = None) -> DataFrame:
     """The first k paths from the start vertices, ordered by their edges' ids.
 
-    A path sorts after its own beginnings. If a beginning is not among the k
-    smallest paths of its length, k paths come before everything that continues
-    it, so keeping k per step loses nothing.
+    A path takes each edge once, so cycles end. A path sorts right after its own beginnings:
+    what continues a path that is not among the first k is not among them either. So only
+    the paths of the last step that are among the first k so far go on, and it ends when there
+    are none (or at ``max_depth`` if the caller sets one).
     """
     edges = stage(all_edges(graph).select(
         F.col(":START_ID").alias("at"), F.col(":END_ID").alias("next"), F.col(":ID").alias("edge")), "edges")
     frontier = start.select(F.col(":ID").alias("origin"), F.col(":ID").alias("at"),
-                            F.lit("").alias("edges")).distinct()
-    found = None
-    for depth in range(1, max_depth + 1):
+                            F.array().cast("array<string>").alias("taken")).distinct()
+    best, depth = None, 0
+    while max_depth is None or depth < max_depth:
+        depth += 1
         # From the second step on the frontier has at most k rows.
         side = frontier if depth == 1 else F.broadcast(frontier)
-        longer = edges.join(side, "at").select(
-            "origin", F.col("next").alias("at"),
-            F.concat(F.col("edges"), F.when(F.col("edges") == "", "").otherwise(","), F.col("edge"))
-            .alias("edges"))
-        frontier = stage(longer.orderBy("edges").limit(k), "path-step")
-        level = frontier.withColumn("hops", F.lit(depth))
-        found = level if found is None else found.unionByName(level)
-    return (found.select("origin", "edges", F.col("at").alias("vertex"), "hops")
-            .orderBy("edges").limit(k))
+        longer = (edges.join(side, "at").filter(~F.array_contains("taken", F.col("edge")))
+                  .select("origin", F.col("next").alias("at"), F.array_append("taken", F.col("edge")).alias("taken"))
+                  .withColumns({"edges": F.array_join("taken", ","), "hops": F.lit(depth)}))
+        found = longer if best is None else best.unionByName(longer)
+        best = stage(found.orderBy("edges", "origin").limit(k), "path-step")
+        frontier = best.filter(F.col("hops") == depth).select("origin", "at", "taken")
+        if frontier.isEmpty():
+            break
+    return best.select("origin", "edges", F.col("at").alias("vertex"), "hops").orderBy("edges").limit(k)
 
 
 def values_sorted(graph: Graph, label: str, numeric: bool = False) -> DataFrame:
@@ -245,13 +253,13 @@ def unhealthy_plants(graph: Graph) -> DataFrame:
 def _flagged_pairs(rows: DataFrame) -> DataFrame:
     """Sensor and plant pairs with a bad event, from the wide rows.
 
-    A pair has one event per run, so its flags are the event's flags.
+    An event is a pair in one run: values of different runs are not mixed.
     """
     ph, humidity = F.col("iot_soil_ph"), F.col("iot_soil_humidity")
-    return (rows.groupBy("iot_sensor_id", "iot_plant_id")
+    return (rows.groupBy("iot_sensor_id", "iot_plant_id", "today")
             .agg(F.max((ph < PH_LOW) | (ph > PH_HIGH)).alias("bad_ph"),
                  F.max(humidity < HUMIDITY_LIMIT).alias("dry"))
-            .filter("bad_ph AND dry").drop("bad_ph", "dry"))
+            .filter("bad_ph AND dry").select("iot_sensor_id", "iot_plant_id").distinct())
 
 
 def _plant_ids(pairs: DataFrame) -> DataFrame:

@@ -6,24 +6,43 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from arbolytics.sources.files import CORRUPT, landed_schema
 from arbolytics.sources.streams import file_source
 
 
 def take_new_files(spark: SparkSession, landing: str, table: str, checkpoint: str,
                    schema: T.StructType, fmt: str = "json", partition_by: Sequence[str] = (),
-                   archive: str | None = None) -> None:
+                   archive: str | None = None, whole_files: bool = False,
+                   rejects: str | None = None) -> None:
     """Append the files that are new since the last call to a Parquet table.
 
     The checkpoint remembers what was taken, so a repeated or restarted call
-    adds nothing twice.
+    adds nothing twice. JSON files hold an object per line, or with ``whole_files`` one
+    object or array. Texts that are none go to the table ``rejects`` (column
+    ``raw``), never as null rows to the main table; without ``rejects`` they end the call with an error.
     """
-    stream = file_source(spark, landing, schema, fmt, archive=archive)
-    writer = (stream.writeStream.format("parquet").outputMode("append")
-              .option("checkpointLocation", checkpoint).option("path", table)
-              .trigger(availableNow=True))
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.start().awaitTermination()
+    json = fmt == "json"
+
+    def source(move: str | None) -> DataFrame:
+        options = {"multiLine": str(whole_files).lower(), "columnNameOfCorruptRecord": CORRUPT} if json else {}
+        if json and not rejects:
+            options["mode"] = "FAILFAST"
+        return file_source(spark, landing, landed_schema(schema) if json and rejects else schema, fmt,
+                           archive=move, options=options)
+
+    def run(stream: DataFrame, path: str, state: str, columns: Sequence[str]) -> None:
+        writer = (stream.writeStream.format("parquet").outputMode("append")
+                  .option("checkpointLocation", state).option("path", path).trigger(availableNow=True))
+        (writer.partitionBy(*columns) if columns else writer).start().awaitTermination()
+
+    if not (json and rejects):
+        run(source(archive), table, checkpoint, partition_by)
+        return
+    run(source(None).filter(F.col(CORRUPT).isNull()).drop(CORRUPT), table, checkpoint, partition_by)
+    # Files are moved after the second reading only.
+    n_read = sum((F.col(f"`{c}`").isNotNull().cast("int") for c in schema.fieldNames()), F.lit(0))
+    run(source(archive).filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("raw"), n_read.alias("n_fields_read")),
+        rejects, f"{checkpoint}-rejects", ())
 
 
 def missing_inputs(found: DataFrame, expected: DataFrame, column: str) -> DataFrame:

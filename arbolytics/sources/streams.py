@@ -20,12 +20,13 @@ def kafka_source(spark: SparkSession, servers: str, topic: str, starting: str =
 
 
 def file_source(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
-                max_files_per_trigger: int | None = None, archive: str | None = None) -> DataFrame:
+                max_files_per_trigger: int | None = None, archive: str | None = None,
+                options: dict[str, str] | None = None) -> DataFrame:
     """Files as a stream; every file is taken once per checkpoint.
 
     With ``archive`` consumed files are moved there by Spark.
     """
-    reader = spark.readStream.format(fmt).schema(schema)
+    reader = spark.readStream.format(fmt).schema(schema).options(**(options or {}))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if archive:

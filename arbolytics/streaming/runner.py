@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from arbolytics.operators.quality import split_rejects
 from arbolytics.sinks.messages import document_writer, table_writer
 from arbolytics.streaming.aggregates import garden_counts, species_averages, window_averages, with_lateness
 
@@ -37,20 +38,21 @@ def run_to_end(query: StreamingQuery) -> None:
     query.awaitTermination()
 
 
-def await_any(spark: SparkSession) -> None:
-    """Block until one of the started queries ends or fails."""
-    spark.streams.awaitAnyTermination()
-
-
 def start_analytics(readings: DataFrame, folder: str, checkpoint: str,
                     available_now: bool = False) -> list[StreamingQuery]:
     """The live dashboard feeds: both average queries and the garden counts.
 
-    The queries start independently; none waits for another to end.
+    The queries start independently; none waits for another to end. If the readings come from
+    ``parse_checked``, messages without a readable body or time make a fourth feed, ``rejects``.
     """
+    rejected = None
+    if "is_bad" in readings.columns:
+        readings, rejected = split_rejects(readings)
     late = with_lateness(readings)
     plans = {"window_averages": window_averages(late), "species_averages": species_averages(late),
              "garden_counts": garden_counts(late)}
+    if rejected is not None:
+        plans["rejects"] = rejected
     return [start(plan, name, checkpoint, document_writer(f"{folder}/{name}"),
                   available_now=available_now) for name, plan in plans.items()]
 

@@ -50,7 +50,7 @@ def sensors(spark: SparkSession, folder: str) -> DataFrame:
 def plants(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "part").select(
         "p_partkey", F.col("p_partkey").cast("string").alias("plant_id"),
-        F.substring("p_brand", 7, 10).alias("species_id"))
+        F.expr("substring(p_brand, 7)").alias("species_id"))
 
 
 def metric_columns() -> dict[str, Column]:
@@ -122,7 +122,7 @@ def traits(spark: SparkSession, folder: str) -> DataFrame:
             .agg(F.min("p_type").alias("Genus"), F.max("p_type").alias("Growth_Form"),
                  F.min("p_retailprice").alias("Leaf_area_mm2"),
                  F.max("p_size").cast("double").alias("Plant_height_m"))
-            .select(to_int(F.substring("p_brand", 7, 10)).alias("Species_id"),
+            .select(to_int(F.expr("substring(p_brand, 7)")).alias("Species_id"),
                     F.col("p_brand").alias("Species_name_standardized_against_TPL"), "Genus",
                     "Growth_Form", "Leaf_area_mm2", "Plant_height_m",
                     F.col("p_brand").alias("plant_name")))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from arbolytics.functions.scalars import accuracy, log_loss, over_threshold, relu, sigmoid
 from arbolytics.plans import features as M
@@ -10,7 +10,9 @@ from arbolytics.plans import graph_queries as Q
 from arbolytics.plans import model
 from arbolytics.plans.graph_build import build_graph
 from arbolytics.plans.propagation import propagate, with_self_loops
-from arbolytics.session import stage
+from arbolytics.session import fresh_path, stage
+from arbolytics.sinks.tables import write_csv
+from arbolytics.sources.files import read_csv_by_header
 from arbolytics.operators.clean import rows_not_in
 from arbolytics.workload import bindings as B
 from arbolytics.workload import sql
@@ -33,10 +35,15 @@ SCALED = """scaled AS (SELECT plant_id, sensor_id, sdid, plant_status, event_id,
   FROM training GROUP BY value_label) USING (value_label))"""
 
 
+TRAINING_COLUMNS = ["iot_sensor_id", "iot_plant_id", "today", *(f"iot_{m}" for m in B.METRICS)]
+
+
 def _training(spark, folder) -> DataFrame:
     rows, keys = B.value_and_key_rows(spark, folder)
+    # One projection of the wide rows serves the flags and the values.
+    rows, keys = stage(rows.select(*TRAINING_COLUMNS), "training-readings"), stage(keys, "training-keys")
     g = build_graph(rows, B.SPECS, keys, stage_keys=False)
-    status = Q.plant_status(Q.all_healthy(g), Q.unhealthy_by_sensor(rows, keys))
+    status = stage(Q.plant_status(Q.all_healthy(g), Q.unhealthy_by_sensor(rows, keys)), "training-status")
     return M.training_rows(rows, B.SPECS["sensor_data"], status)
 
 
@@ -199,7 +206,7 @@ def _scored(spark, folder) -> DataFrame:
         F.struct(F.col(":START_ID").alias("src"), F.col(":END_ID").alias("dst")),
         F.struct(F.col(":END_ID").alias("src"), F.col(":START_ID").alias("dst")))).alias("e")).select("e.*")
     spread = propagate(with_self_loops(measures, vertices), vertices, MODEL_COLUMNS, 2)
-    status = Q.plant_status(Q.all_healthy(g), Q.unhealthy_by_own_events(rows))
+    status = Q.plant_status(Q.all_healthy(g), Q.unhealthy_by_sensor(rows, keys))
     labelled = status.join(spread, F.col("vertex") == F.col("plant_id")).select(
         "plant_id", F.col("status").alias("plant_status"), *MODEL_COLUMNS)
     # Staged, as every pass of the fit reads it.
@@ -207,11 +214,42 @@ def _scored(spark, folder) -> DataFrame:
     return model.score(model.fit(labelled, MODEL_COLUMNS), labelled, MODEL_COLUMNS)
 
 
-@query("model_scores")
+LABELLED = f"""{UNHEALTHY}, status AS (SELECT DISTINCT 'PLANT_' || plant_id AS plant_id,
+    CASE WHEN plant_id IN (SELECT plant_id FROM unhealthy) THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS plant_status FROM wide),
+  parted AS (SELECT *, CASE WHEN {sql.bucket32("plant_id || '|42'", 100)} < 20 THEN 'test' ELSE 'train' END AS part FROM status),
+  labelled AS (SELECT plant_id, plant_status, CASE WHEN part = 'test' AND row_number() OVER
+    (PARTITION BY part ORDER BY md5(plant_id || '|42'), plant_id) <= 5 THEN 'sample' ELSE part END AS split FROM parted)"""
+
+
+@query("model_scores", sql.over_wide_ctes(LABELLED, "SELECT plant_id, split, plant_status, true AS is_probability, true AS fits FROM labelled"))
 def model_scores(spark, folder):
-    return _scored(spark, folder).select("plant_id", "split", "plant_status", "probability_healthy", "predicted_status")
+    """Every plant has a probability, and a prediction that fits it."""
+    p = F.col("probability_healthy")
+    return _scored(spark, folder).select(
+        "plant_id", "split", "plant_status", p.between(0.0, 1.0).alias("is_probability"),
+        (F.col("predicted_status") == (p > 0.5).cast("double")).alias("fits"))
 
 
-@query("model_metrics")
+@query("model_metrics", sql.over_wide_ctes(LABELLED, """
+    SELECT split, count(*) AS n_rows, 0::BIGINT AS n_unscored, true AS beats_constant FROM labelled GROUP BY split"""))
 def model_metrics(spark, folder):
-    return model.metrics(_scored(spark, folder))
+    """Rows per part, and whether the fit is at least as good as the best constant prediction on its own part."""
+    scored = stage(_scored(spark, folder), "scored")
+    share = F.avg("plant_status")
+    constant = scored.groupBy("split").agg(F.greatest(share, 1 - share).alias("larger"), log_loss(
+        F.col("plant_status"), F.lit(scored.filter("split = 'train'").agg(share).first()[0])).alias("constant_loss"))
+    better = (F.col("accuracy") >= F.col("larger")) & (F.col("log_loss") <= F.col("constant_loss") + 1e-9)
+    return model.metrics(scored).join(constant, "split").select(
+        "split", "n_rows", "n_unscored", F.when(F.col("split") == "train", better).otherwise(True).alias("beats_constant"))
+
+
+@query("predictions_table", sql.over_wide_ctes(LABELLED, """
+    SELECT split, count(*) AS n_rows, count(*) AS n_predicted FROM labelled GROUP BY split"""))
+def predictions_table(spark, folder):
+    """The predictions as a CSV table, read back: each plant has one that is healthy or not."""
+    path = fresh_path(spark, "predictions")
+    columns = "plant_id string, split string, predicted_status double"
+    write_csv(_scored(spark, folder).select("plant_id", "split", "predicted_status"), path)
+    back = read_csv_by_header(spark, path, T.StructType.fromDDL(columns))
+    return back.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(
+        F.col("predicted_status").isin(0.0, 1.0)).alias("n_predicted"))

@@ -215,7 +215,7 @@ def one_node(spark, folder):
     sql.all_edges_cte() + """, r AS (
       WITH RECURSIVE walk(origin, vertex, hops) AS (
         SELECT DISTINCT 'GARDEN_' || garden_id, 'GARDEN_' || garden_id, 0 FROM wide
-        UNION SELECT origin, end_id, hops + 1 FROM walk JOIN e_all ON start_id = vertex WHERE hops < 4)
+        UNION SELECT origin, end_id, hops + 1 FROM walk JOIN e_all ON start_id = vertex)
       SELECT * FROM walk WHERE hops > 0)"""))
 def reachable_from_garden(spark, folder):
     g = B.graph(spark, folder, stage_keys=True)
@@ -230,8 +230,9 @@ def reachable_from_garden(spark, folder):
     sql.all_edges_cte() + """, p AS (
       WITH RECURSIVE walk(origin, vertex, edges, hops) AS (
         SELECT start_id, end_id, id, 1 FROM e_all
-        WHERE id IN (SELECT id FROM e_all WHERE start_id IN (SELECT 'GARDEN_' || garden_id FROM k_garden) ORDER BY id LIMIT 50)
-        UNION ALL SELECT origin, end_id, edges || ',' || id, hops + 1 FROM walk JOIN e_all ON start_id = vertex WHERE hops < 4)
+        WHERE start_id IN (SELECT DISTINCT 'GARDEN_' || garden_id FROM wide)
+        UNION ALL SELECT origin, end_id, edges || ',' || id, hops + 1 FROM walk JOIN e_all ON start_id = vertex
+        WHERE NOT list_contains(string_split(edges, ','), id))
       SELECT * FROM walk)"""))
 def paths_from_garden(spark, folder):
     g = B.graph(spark, folder, stage_keys=True)
@@ -266,6 +267,21 @@ def plant_status(spark, folder):
     return Q.plant_status(Q.all_healthy(g), Q.unhealthy_by_sensor(rows, keys))
 
 
+# Readings with a returned item are the later run: a bad pH of one run and a dry soil of the other are no bad event.
+TWO_RUNS = ("bad AS (SELECT DISTINCT sensor_id FROM (SELECT sensor_id, plant_id, light FROM wide GROUP BY ALL "
+            "HAVING bool_or(soil_ph < 5 OR soil_ph > 7) AND bool_or(soil_humidity < 60)))")
+
+
+@query("plant_status_two_runs", sql.over_wide_ctes(TWO_RUNS, """
+    SELECT 'PLANT_' || plant_id AS plant_id, CASE WHEN bool_or(sensor_id IN (SELECT sensor_id FROM bad)) THEN 0.0::DOUBLE
+           ELSE 1.0::DOUBLE END AS status FROM wide GROUP BY plant_id"""))
+def plant_status_two_runs(spark, folder):
+    rows, keys = B.value_and_key_rows(spark, folder)
+    rows = rows.withColumn("today", F.when(F.col("iot_light"), "1998-12-02").otherwise(F.col("today")))
+    g = build_graph(rows, B.SPECS, keys, stage_keys=False)
+    return Q.plant_status(Q.all_healthy(g), Q.unhealthy_by_sensor(rows, keys))
+
+
 @query("all_plants_healthy", sql.over_wide("SELECT DISTINCT 'PLANT_' || plant_id AS plant_id, 1.0::DOUBLE AS status FROM wide"))
 def all_plants_healthy(spark, folder):
     return Q.all_healthy(B.graph(spark, folder))

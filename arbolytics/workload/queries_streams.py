@@ -91,9 +91,6 @@ def stream_sliding_avg(spark, folder):
     return _tidy(_update(plan, "sliding", ["window_start", "window_end"]))
 
 
-CLOSED = "HAVING window_end <= (SELECT max(t) FROM er) - INTERVAL 5 MINUTE"
-
-
 @query("stream_avg_append", f"""WITH {sql.EVENT_READINGS}, w AS ({_windows('', _averages(A.WINDOW_AVERAGES))})
     SELECT * FROM w WHERE window_end <= (SELECT max(t) FROM er) - INTERVAL 5 MINUTE""")
 def stream_avg_append(spark, folder):

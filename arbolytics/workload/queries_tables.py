@@ -75,9 +75,11 @@ def scan_partition_subset(spark, folder):
         "p_partkey", "p_brand", "p_type")
 
 
-@query("csv_round_trip", "SELECT * FROM customer")
+@query("csv_round_trip", """SELECT *, c_name || ' "q", ' || chr(10) || '"' || c_mktsegment AS note FROM customer""")
 def csv_round_trip(spark, folder):
-    source = B.table(spark, folder, "customer")
+    """Values with quotes, commas and line ends come back as they were."""
+    note = F.concat("c_name", F.lit(' "q", \n"'), "c_mktsegment")
+    source = B.table(spark, folder, "customer").withColumn("note", note)
     path = fresh_path(spark, "csv")
     tables.write_csv(source, path)
     return files.read_csv_by_header(spark, path, source.schema)
@@ -91,6 +93,57 @@ def json_round_trip(spark, folder):
     return spark.read.schema(source.schema).json(path)
 
 
+EVENT_COLUMNS = ["event_id", "user_id", "event_type", "micros", "value", "props"]
+
+
+@query("landed_readings", "SELECT event_id, user_id, event_type, epoch_us(ts) AS micros, value, props, 4 AS n FROM events")
+def landed_readings(spark, folder):
+    """Events landed as lines and as arrays over many lines, read and taken in: each comes back four times, no text is rejected."""
+    from arbolytics.sources.intake import take_new_files
+
+    events = B.table(spark, folder, "events").withColumn(
+        "micros", F.unix_micros(F.col("ts").cast("timestamp"))).select(EVENT_COLUMNS)
+    lines, arrays = fresh_path(spark, "landed-lines"), fresh_path(spark, "landed-arrays")
+    messages.documents(events).write.text(lines)
+    # A file has the array of at most 2,000 events, over as many lines.
+    text = F.concat(F.lit("[\n"), F.array_join(F.collect_list(F.to_json(F.struct(*EVENT_COLUMNS))), ",\n"), F.lit("\n]"))
+    (events.groupBy(F.floor(F.col("event_id") / 2000).alias("file")).agg(text.alias("text"))
+     .write.partitionBy("file").text(arrays))
+    found = []
+    for path, whole in ((lines, False), (f"{arrays}/*", True)):
+        good, bad = files.split_landed(files.read_reading_objects(spark, path, "*", whole, events.schema))
+        taken, rejects = fresh_path(spark, "taken"), fresh_path(spark, "rejects")
+        take_new_files(spark, path, taken, fresh_path(spark, "intake"), events.schema, whole_files=whole, rejects=rejects)
+        found += [good, spark.read.schema(events.schema).parquet(taken), bad.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in events.schema])]
+    return clean.union_by_name(found).groupBy(*EVENT_COLUMNS).agg(F.count(F.lit(1)).cast("int").alias("n"))
+
+
+SENSOR_IDS = """CASE l_suppkey % 4 WHEN 0 THEN 'aa:b c:' || l_suppkey WHEN 1 THEN '00' || l_suppkey WHEN 2 THEN l_suppkey || 'e3'
+    ELSE 'x%+' || l_suppkey END"""
+
+
+@query("sensor_partition_ids", f"""SELECT {SENSOR_IDS} AS sensor_id, {SENSOR_IDS} AS folder_id, count(*) AS n, round(sum(l_quantity), 4) AS total
+    FROM lineitem GROUP BY ALL""")
+def sensor_partition_ids(spark, folder):
+    """Sensor ids that look like numbers or need escapes, through the partition folders."""
+    path = fresh_path(spark, "readings")
+    tables.write_readings(B.table(spark, folder, "lineitem").select(F.expr(SENSOR_IDS).alias("device_id"), "l_quantity"), path)
+    rows = files.with_source_file(files.read_sensor_readings(spark, path))
+    return rows.groupBy("sensor_id", partition_value(F.col("source_file"), "device_id").alias("folder_id")).agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("l_quantity"), 4).alias("total"))
+
+
+@query("wide_join_history", sql.over_wide("SELECT city, prediction_date, plant_name, count(*) AS n FROM wide GROUP BY ALL"))
+def wide_join_history(spark, folder):
+    """A weather table with several forecast days: each reading meets the run's day only."""
+    day = B.weather(spark, folder)
+    later = [day.withColumn("prediction_date", date_text(F.lit(B.AS_OF), n)) for n in (2, 3)]
+    history = stage(clean.union_by_name([day, *later]), "weather-history")
+    wide = wide_table(B.readings(spark, folder), history, stage(B.traits(spark, folder), "traits"), forecast_day="1998-12-02")
+    return wide.groupBy(F.col("weather_city").alias("city"), F.col("weather_prediction_date").alias("prediction_date"),
+                        F.col("plants_plant_name").alias("plant_name")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("partitioned_round_trip", "SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag, "
        "year(l_shipdate)::INTEGER AS ship_year FROM lineitem WHERE year(l_shipdate) IN (1996, 1998)")
 def partitioned_round_trip(spark, folder):
@@ -101,15 +154,14 @@ def partitioned_round_trip(spark, folder):
     return files.partition_subset(files.read_table(spark, path), "ship_year", [1996, 1998])
 
 
-@query("latest_ingest", "SELECT s_suppkey, s_name, '1998-12-02' AS ingest_date FROM supplier")
+@query("latest_ingest", "SELECT *, '1998-12-02' AS ingest_date FROM supplier WHERE s_suppkey % 3 > 0")
 def latest_ingest(spark, folder):
-    """Two dated loads; only the newer one is read back."""
-    source = B.table(spark, folder, "supplier").select("s_suppkey", "s_name")
+    """Two dated loads with different rows; only the newer one is read back."""
+    source = B.table(spark, folder, "supplier")
     path = fresh_path(spark, "dated")
-    for day in ("1998-12-01", "1998-12-02"):
-        tables.write_dated(source, path, day)
-    return (files.read_latest(spark, path)
-            .withColumn("ingest_date", F.col("ingest_date").cast("string")))
+    tables.write_dated(source.filter("s_suppkey % 3 < 2"), path, "1998-12-01")
+    tables.write_dated(source.filter("s_suppkey % 3 > 0"), path, "1998-12-02")
+    return files.read_latest(spark, path)
 
 
 @query("partition_folder_column", "SELECT event_type AS sensor_id, count(*) AS n FROM events GROUP BY 1")
@@ -212,7 +264,7 @@ def numeric_casts(spark, folder):
     from arbolytics.functions.scalars import to_double, to_int
 
     return B.table(spark, folder, "part").select(
-        "p_partkey", to_int(F.substring("p_brand", 7, 10)).alias("brand_number"),
+        "p_partkey", to_int(F.expr("substring(p_brand, 7)")).alias("brand_number"),
         to_double(F.col("p_name")).alias("no_number"),
         to_double(F.col("p_retailprice").cast("string")).alias("price"))
 
@@ -225,22 +277,22 @@ def device_mapping_check(spark, folder):
                                      ["l_returnflag", "l_linestatus"])
 
 
-CAPS = {"A": 150, "N": 180, "R": 190}
+CAPS = {"A": 150, "N": 180}  # the third group has none
 
 
 @query("plants_per_device_cap", """SELECT * FROM (SELECT l_suppkey, l_returnflag,
-    count(DISTINCT l_partkey) AS n_plants, CASE l_returnflag WHEN 'A' THEN 150 WHEN 'N' THEN 180 WHEN 'R' THEN 190 END AS cap
-    FROM lineitem GROUP BY l_suppkey, l_returnflag) WHERE n_plants > cap""")
+    count(DISTINCT l_partkey) AS n_plants, CASE l_returnflag WHEN 'A' THEN 150 WHEN 'N' THEN 180 END AS cap
+    FROM lineitem GROUP BY l_suppkey, l_returnflag) WHERE n_plants > cap OR cap IS NULL""")
 def plants_per_device_cap(spark, folder):
     return quality.plants_over_cap(B.table(spark, folder, "lineitem"), "l_suppkey", "l_partkey",
                                    "l_returnflag", CAPS)
 
 
-@query("missing_inputs", "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("missing_inputs", "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')")
 def missing_inputs(spark, folder):
     from arbolytics.sources.intake import missing_inputs as missing
 
-    found = B.table(spark, folder, "orders").select(F.col("o_custkey").alias("c_custkey")).distinct()
+    found = B.table(spark, folder, "orders").filter("o_orderstatus = 'P'").select(F.col("o_custkey").alias("c_custkey")).distinct()
     return missing(found, B.table(spark, folder, "customer"), "c_custkey")
 
 
@@ -254,9 +306,9 @@ def process_once_intake(spark, folder):
     first = F.col("event_type").isin("click", "view")
     events.filter(first).write.json(landing)
     for _ in range(2):
-        take_new_files(spark, landing, target, checkpoint, events.schema)
+        take_new_files(spark, landing, target, checkpoint, events.schema, rejects=f"{target}-rejects")
     events.filter(~first).write.mode("append").json(landing)
-    take_new_files(spark, landing, target, checkpoint, events.schema)
+    take_new_files(spark, landing, target, checkpoint, events.schema, rejects=f"{target}-rejects")
     return (spark.read.schema(events.schema).parquet(target).groupBy("event_type")
             .agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total")))
 

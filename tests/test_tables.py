@@ -22,10 +22,44 @@ def test_json_objects_with_defects(spark, folder):
         f.write('{"device_id": "cut", "li')
     with open(f"{folder}/3.json", "w") as f:
         json.dump({"device_id": "few", "temp": "warm"}, f)
-    rows = files.read_reading_objects(spark, folder)
-    assert rows.schema.fieldNames() == READING.fieldNames()
-    assert rows.filter("plant_id IS NOT NULL").count() == 2
-    assert rows.filter("temp IS NULL").count() == 2
+    rows = files.read_reading_objects(spark, folder, whole_files=True)
+    assert rows.schema.fieldNames() == [*READING.fieldNames(), files.CORRUPT]
+    good, bad = files.split_landed(rows)
+    assert sorted(r.plant_id for r in good.collect()) == sorted(r["plant_id"] for r in X.reading_rows()[:2])
+    assert bad.count() == 2
+
+
+def test_objects_per_line_and_intake_agree(spark, folder):
+    rows = X.reading_rows()[:3]
+    os.makedirs(f"{folder}/lines")
+    os.makedirs(f"{folder}/whole")
+    with open(f"{folder}/lines/a.json", "w") as f:
+        f.write("\n".join(json.dumps(r) for r in rows) + '\n{"device_id": "cut\n')
+    for i, r in enumerate(rows):
+        with open(f"{folder}/whole/{i}.json", "w") as f:
+            json.dump(r, f, indent=2)
+    for kind, whole, n_bad in (("lines", False, 1), ("whole", True, 0)):
+        good, bad = files.split_landed(files.read_reading_objects(spark, f"{folder}/{kind}", whole_files=whole))
+        assert good.count() == 3 and bad.count() == n_bad
+        out = f"{folder}/{kind}-out"
+        intake.take_new_files(spark, f"{folder}/{kind}", out, f"{out}-state", READING, whole_files=whole, rejects=f"{out}-bad")
+        assert X.rows_of(spark.read.parquet(out).select(READING.fieldNames())) == X.rows_of(good)
+        assert spark.read.schema("raw string").parquet(f"{out}-bad").count() == n_bad
+
+
+def test_ids_in_folder_names(spark, folder):
+    ids = ["aa:b c", "007", "1e3", "10", "x%+y", "2030-01-01"]
+    tables.write_readings(spark.createDataFrame([(i, 1) for i in ids], "device_id string, v int"), f"{folder}/r")
+    rows = files.with_source_file(files.read_sensor_readings(spark, f"{folder}/r"))
+    from arbolytics.functions.scalars import partition_value
+    back = rows.select("sensor_id", partition_value(F.col("source_file"), "device_id")).collect()
+    assert sorted(map(tuple, back)) == sorted((i, i) for i in ids)
+
+
+def test_csv_quotes(spark, folder):
+    rows = spark.createDataFrame([('x "y", z', "a\nb", 1), ('"', ",", 2), (None, "'", 3)], "a string, b string, c int")
+    tables.write_csv(rows, f"{folder}/q")
+    assert X.rows_of(files.read_csv_by_header(spark, f"{folder}/q", rows.schema)) == X.rows_of(rows)
 
 
 def test_csv_header(spark, folder):
@@ -135,6 +169,7 @@ def test_mapping_checks(spark):
     plants = spark.createDataFrame([("d", f"p{i}", "small") for i in range(5)] * 2, "d string, p string, t string")
     assert quality.plants_over_cap(plants, "d", "p", "t", {"small": 4}).count() == 1
     assert quality.plants_over_cap(plants, "d", "p", "t", {"small": 5}).count() == 0
+    assert quality.plants_over_cap(plants, "d", "p", "t", {"other": 5}).collect() == [("d", "small", 5, None)]
     nodes = spark.createDataFrame([("a", "1"), ("a", "1"), ("b", "1"), ("b", None)], "`:ID` string, value string")
     assert quality.id_conflicts(nodes).collect() == [("b", 2)]
 
