@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -11,6 +12,7 @@ from arbolytics.functions.ids import prefixed_id, uuid_id
 from arbolytics.operators.wide import event_id
 from arbolytics.plans.graph_spec import EDGES, EVENT_KEYS, KEY_COLUMNS, EdgeSpec, NodeSpec, node_specs
 from arbolytics.session import stage, stage_all
+from arbolytics.sinks.tables import write_csv
 
 
 def node_id(spec: NodeSpec, label: Column | None = None) -> Column:
@@ -67,6 +69,11 @@ def long_values(rows: DataFrame, spec: NodeSpec, keep: tuple[str, ...] = ()) ->
     return add_event_id(distinct, spec.keys).withColumn(":ID", node_id(spec, F.col(":LABEL")))
 
 
+def feed_values(rows: DataFrame, spec: NodeSpec) -> DataFrame:
+    """The few rows of a weather or trait feed that stand in the readings: distinct before they are unpivoted."""
+    return rows.select(*raw_keys(spec.keys), *spec.values).distinct()
+
+
 def build_nodes(rows: DataFrame, spec: NodeSpec) -> DataFrame:
     """The distinct nodes of one kind.
 
@@ -171,6 +178,8 @@ def build_graph(rows: DataFrame, specs: Mapping[str, NodeSpec] | None = None,
     def node_maker(name: str) -> Callable[[], DataFrame]:
         if name == "date":
             return lambda: build_date_nodes(keys, specs)
+        if name in ("weather_data", "species_data"):
+            return lambda: build_nodes(feed_values(rows, specs[name]), specs[name])
         return lambda: build_nodes(rows if specs[name].values else keys, specs[name])
 
     nodes = {name: node_maker(name) for name in NODE_TABLES}
@@ -206,8 +215,16 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 
 
 def write_graph(graph: Graph, root: str, day: str) -> None:
-    """CSV tables in the bulk-load layout: ``nodes/<day>/<name>.csv`` and ``edges/...``."""
-    for kind, tables in (("nodes", graph.nodes), ("edges", graph.edges)):
-        for name, table in tables.items():
-            (table.write.mode("overwrite").option("header", True)
-             .csv(f"{root}/{kind}/{day}/{name}_{kind}.csv"))
+    """CSV tables in the bulk-load layout: ``nodes/<day>/<name>.csv`` and ``edges/...``.
+
+    Tables are written side by side. Stage the wide rows before ``build_graph``: several
+    tables read them.
+    """
+    jobs = [(graph_path(root, kind, day, name), table) for kind, tables in (("nodes", graph.nodes), ("edges", graph.edges))
+            for name, table in tables.items()]
+    with ThreadPoolExecutor(max_workers=6) as pool:
+        list(pool.map(lambda job: write_csv(job[1], job[0]), jobs))
+
+
+def graph_path(root: str, kind: str, day: str, name: str) -> str:
+    return f"{root}/{kind}/{day}/{name}_{kind}.csv"

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,9 +24,14 @@ SCALE_SETTINGS = {
 
 
 def build_session(app_name: str, master: str | None = None,
-                  settings: dict[str, str] | None = None) -> SparkSession:
-    """A session with the settings above; ``settings`` wins over them."""
+                  settings: dict[str, str] | None = None, shared: str | None = None) -> SparkSession:
+    """A session with the settings above; ``settings`` wins over them.
+
+    ``shared`` names the folder that all executors see (``spark.checkpoint.dir``).
+    """
     builder = SparkSession.builder.appName(app_name)
+    if shared:
+        builder = builder.config("spark.checkpoint.dir", shared)
     if master:
         builder = builder.master(master)
     for key, value in {**SCALE_SETTINGS, **(settings or {})}.items():
@@ -51,9 +58,33 @@ def shared_folder(spark: SparkSession) -> str:
     return _LOCAL_FOLDERS[context.applicationId]
 
 
+_SCOPES: list[str] = []
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[str]:
+    """A scope that owns what is staged in it: its folder goes when the scope ends.
+
+    Write results that must last before the end of the scope, to a folder of your own.
+    """
+    folder = f"{shared_folder(spark)}/scope-{uuid.uuid4().hex}"
+    _SCOPES.append(folder)
+    try:
+        yield folder
+    finally:
+        _SCOPES.remove(folder)
+        remove_folder(spark, folder)
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Deletes a folder on whatever file system it is."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new, unused path below the scope's folder, or below the shared folder without a scope."""
+    return f"{_SCOPES[-1] if _SCOPES else shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

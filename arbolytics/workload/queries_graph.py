@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
+from arbolytics.operators.clean import union_by_name
 from arbolytics.operators.quality import id_conflicts
 from arbolytics.plans import graph_queries as Q
 from arbolytics.plans.graph_build import (
-    Graph, LazyTables, build_date_nodes, build_edges, build_graph, build_nodes, join_edges,
-    stored)
+    NODE_TABLES, Graph, LazyTables, build_date_nodes, build_edges, build_graph, build_nodes, graph_path, join_edges,
+    stored, write_graph)
 from arbolytics.plans.graph_spec import EDGES
+from arbolytics.session import fresh_path, stage
+from arbolytics.sources.files import read_csv_by_header
 from arbolytics.workload import bindings as B
 from arbolytics.workload import sql
-from arbolytics.workload.registry import plain, query
+from arbolytics.workload.registry import SQL, plain, query
 
 N = sql.NODE_IDS
 
@@ -47,11 +50,12 @@ WIDE_NODE_SQL = {
 
 def _register_nodes() -> None:
     # Metric values stand in every reading; all other nodes follow from the distinct keys.
-    rows_for = {"sensor_data": B.value_rows, "sensor_data_wide": B.value_rows, "weather_data": B.feed_rows,
-                "species_data": B.feed_rows, "species_data_wide": B.feed_rows}
+    rows_for = {"sensor_data": B.value_rows, "sensor_data_wide": B.value_rows, "species_data_wide": B.feed_rows}
 
     def maker(name):
         rows = rows_for.get(name, B.key_rows)
+        if name in ("weather_data", "species_data"):  # read off the readings by the product's own plan
+            return lambda spark, folder: plain(B.full_graph(spark, folder).nodes[name])
         return lambda spark, folder: plain(build_nodes(rows(spark, folder), B.SPECS[name]))
 
     for name, body in {**NODE_SQL, **WIDE_NODE_SQL}.items():
@@ -78,11 +82,28 @@ def nodes_date(spark, folder):
     return plain(build_date_nodes(B.key_rows(spark, folder), B.SPECS))
 
 
+ID_DIGEST = sql.bucket32("id", 2**32)
+WRITTEN = " UNION ALL ".join(
+    f"SELECT '{kind}_{name}' AS table_name, count(*) AS n_rows, sum({ID_DIGEST})::BIGINT AS id_digest FROM ({SQL[f'{kind}_{name}']})"
+    for kind, names in (("nodes", NODE_TABLES), ("edges", EDGES)) for name in names)
+
+
+@query("graph_written", WRITTEN)
+def graph_written(spark, folder):
+    """All 23 tables of one graph in the bulk-load layout, written side by side and read back."""
+    root, day = fresh_path(spark, "graph"), B.AS_OF
+    graph = B.full_graph(spark, folder)
+    write_graph(graph, root, day)
+    digest = F.conv(F.substring(F.md5(":ID"), 1, 8), 16, 10).cast("bigint")
+    found = [read_csv_by_header(spark, graph_path(root, kind, day, name), T.StructType.fromDDL("`:ID` string"))
+             .agg(F.lit(f"{kind}_{name}").alias("table_name"), F.count(F.lit(1)).alias("n_rows"), F.sum(digest).alias("id_digest"))
+             for kind, tables in (("nodes", graph.nodes), ("edges", graph.edges)) for name in tables]
+    return union_by_name(found)
+
+
 @query("edges_joined_nodes", sql.edge_sql("has_plant"))
 def edges_joined_nodes(spark, folder):
     """HAS_PLANT from two node frames with helper keys, joined on the garden."""
-    from arbolytics.session import stage
-
     keys = stage(B.key_rows(spark, folder).select("iot_garden_id", "iot_plant_id", "iot_sensor_id").distinct(),
                  "garden-keys")
     gardens = keys.withColumn(":ID", F.concat(F.lit("GARDEN_"), "iot_garden_id"))
