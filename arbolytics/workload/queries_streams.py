@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.window import Window
 
 from arbolytics.operators import sketches
 from arbolytics.operators.ranking import count_per, top_k
@@ -182,10 +183,21 @@ def stream_cms_estimate(spark, folder):
     return sketches.count_min_estimates(gardens, sketch, "garden_id")
 
 
-@query("approx_top_k")
+@query("approx_top_k", """SELECT row_number() OVER (ORDER BY number DESC)::INTEGER AS rank, number, true AS is_exact
+    FROM (SELECT count(*) AS number FROM events GROUP BY user_id ORDER BY number DESC LIMIT 3)""")
 def approx_top_k(spark, folder):
-    return sketches.approx_top_k(B.table(spark, folder, "events").select(
-        F.col("user_id").alias("garden_id")), "garden_id")
+    """The three largest counts, and whether each is its key's true one.
+
+    With fewer keys than are tracked the counts are exact. Keys with equal counts may stand for each
+    other, so ranks have counts only.
+    """
+    events = B.table(spark, folder, "events").select(F.col("user_id").alias("garden_id"))
+    top = sketches.approx_top_k(events, "garden_id")
+    true = count_per(events, "garden_id", name="true_number")
+    # k rows: one window over all of them.
+    return top.join(true, "garden_id").select(
+        F.row_number().over(Window.orderBy(F.desc("number"))).alias("rank"), "number",
+        (F.col("number") == F.col("true_number")).alias("is_exact"))
 
 
 @query("exact_top_k", "SELECT user_id AS garden_id, count(*) AS number FROM events GROUP BY 1 ORDER BY number DESC, garden_id LIMIT 3")
@@ -194,7 +206,11 @@ def exact_top_k(spark, folder):
     return top_k(count_per(events, "garden_id"), "number", 3, "garden_id")
 
 
-@query("built_in_sketch")
+@query("built_in_sketch", f"SELECT count(user_id) AS n_rows, {sketches.DEPTH} AS depth, {sketches.WIDTH} AS width FROM events")
 def built_in_sketch(spark, folder):
+    """What the head of the binary sketch says: rows taken in, depth and width."""
+    def number(at: int, size: int):
+        return F.conv(F.hex(F.substring("sketch", at, size)), 16, 10).cast("bigint")
+
     return sketches.built_in_sketch(B.table(spark, folder, "events"), "user_id").select(
-        F.octet_length("sketch").alias("n_bytes"))
+        number(5, 8).alias("n_rows"), number(13, 4).cast("int").alias("depth"), number(17, 4).cast("int").alias("width"))
