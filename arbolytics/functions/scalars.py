@@ -110,7 +110,7 @@ def relu(x: Column) -> Column:
 
 
 def over_threshold(p: Column, threshold: float = 0.5) -> Column:
-    return F.when(p > threshold, 1.0).otherwise(0.0)
+    return F.when(p > threshold, 1.0).when(p.isNotNull(), 0.0)
 
 
 def log_loss(label: Column, p: Column, floor: float = 1e-15) -> Column:
