@@ -9,6 +9,7 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 import arbolytics
@@ -38,12 +39,16 @@ def text_bytes(df: DataFrame, column: str = "text") -> int:
     return df.agg(F.sum(F.octet_length(F.col(f"`{column}`").cast("string")))).first()[0] or 0
 
 
-def pieces(size: int, target: int, least: int = 48) -> int:
+#: Pieces of any table, so that small ones are spread over tasks as well.
+LEAST_PIECES = 48
+
+
+def pieces(size: int, target: int) -> int:
     """How many pieces of about ``target`` bytes hold ``size`` bytes.
 
     The count follows the data, so a piece stays within a task's memory at any size.
     """
-    return max(least, math.ceil(size / target))
+    return max(LEAST_PIECES, math.ceil(size / target))
 
 
 def bare(df: DataFrame, **columns: str) -> DataFrame:
@@ -68,6 +73,19 @@ def slices(texts: list[str], most_chars: int) -> Iterator[tuple[int, int]]:
         yield at, len(texts)
 
 
+def batch_slices(batch: pa.RecordBatch, most_chars: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch whose texts (column ``text``) together hold about ``most_chars`` bytes (one row at least)."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist()
+    at, total = 0, 0
+    for i, size in enumerate(sizes):
+        if i > at and total + size > most_chars:
+            yield batch.slice(at, i - at)
+            at, total = i, 0
+        total += size
+    if at < len(sizes):
+        yield batch.slice(at)
+
+
 def texts_of(column: pa.ChunkedArray | pa.Array) -> list[str]:
     """Python texts of a column; null counts as empty."""
     return [x or "" for x in column.to_pylist()]

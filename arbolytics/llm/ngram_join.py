@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from arbolytics.llm import packed
-from arbolytics.llm.common import bare, hash_group, pieces, text_bytes
+from arbolytics.llm.common import bare, batch_slices, hash_group, pieces, text_bytes
 from arbolytics.llm.components import components
 from arbolytics.llm.words import mix, word_hashes
 from arbolytics.session import stage
@@ -66,7 +66,7 @@ def signatures(sets: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 def with_signatures(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in batch_slices(whole)):
             sets, cuts = shingle_sets(batch.column("text"), length)
             a, b = signatures(sets, cuts)
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "row": batch.column("row"), "n_shingles": np.diff(cuts), "s1": a, "s2": b})

@@ -2,15 +2,15 @@ import random
 
 import pytest
 
-from arbolytics.llm.common import ship
+from arbolytics.llm import common, neighbours
 
 
 @pytest.fixture(autouse=True)
-def shared(spark, tmp_path_factory):
-    """Tests name the shared folder themselves."""
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
-    ship(spark)
+def few_pieces(spark, monkeypatch):
+    """Small tables take few tasks here."""
+    monkeypatch.setattr(common, "LEAST_PIECES", 5)
+    monkeypatch.setattr(neighbours, "LEAST_BLOCKS", 3)
+    common.ship(spark)
 
 
 @pytest.fixture
