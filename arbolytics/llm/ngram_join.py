@@ -7,8 +7,8 @@
    documents have no partner and drop out here.
 4. The order is cut into fragments. Each fragment counts the overlap of a pair by itself,
    and the counts are summed per pair.
-5. Pairs are formed in two rounds. Round one compares each node with one hub for each n-gram of its
-   prefix: as many pairs as prefix entries. Linked nodes become components. Round two compares what
+5. Pairs are formed in rounds. The first two compare each node with one hub for each n-gram of its
+   prefix: as many pairs as prefix entries. Linked nodes become components. The last round compares what
    is left: nodes of one n-gram that are in different components, and that neither their lengths, their places in
    the order, nor their distances to the hub (triangle inequality) keep apart.
    No link between different components is lost, so the components are exact, and a large group of near
@@ -197,8 +197,9 @@ def near_sets(sets: DataFrame, parts: int, whole: int, fragments: int) -> DataFr
     """Staged links (u, v) between nodes, enough to join all nodes that links join."""
     cut = stage(segments(sets, fragments), "ngram-fragments")
     entries = stage(sets.select("node", "n", "alone", F.posexplode(F.slice("tokens", F.lit(1), F.col("n_prefix"))).alias("i", "token"))
-                    .select("token", "node", "n", (F.col("alone") + F.col("i")).alias("place")), "ngram-prefixes")
-    hubs = (entries.groupBy("token").agg(F.min(F.struct("node", "n")).alias("h"), F.count(F.lit(1)).alias("k"))
+                    .select("token", "node", "n", "alone", (F.col("alone") + F.col("i")).alias("place")), "ngram-prefixes")
+    # The hub of a list is its node with the fewest n-grams of its own: the text that near copies were made of, if it is there.
+    hubs = (entries.groupBy("token").agg(F.min(F.struct("alone", "node", "n")).alias("h"), F.count(F.lit(1)).alias("k"))
             .filter("k > 1").select("token", F.col("h.node").alias("hub"), F.col("h.n").alias("hub_n")))
     entries = stage(entries.join(hubs, "token"), "ngram-lists")
     lengths_fit = F.least("na", "nb") * whole >= F.greatest("na", "nb") * parts
@@ -208,6 +209,20 @@ def near_sets(sets: DataFrame, parts: int, whole: int, fragments: int) -> DataFr
     links = first.filter("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
     found = stage(components(links), "ngram-components")
 
+    # Nodes outside the hub's component meet the one with the fewest own n-grams among them.
+    outside = (entries.join(found, "node", "left").join(found.select(F.col("node").alias("hub"), F.col("component").alias("hub_component")), "hub", "left")
+               .filter("node != hub").filter(~F.coalesce(F.col("component") == F.col("hub_component"), F.lit(False)))
+               .select("token", "node", "n", "alone"))
+    outside = stage(outside, "ngram-outside")
+    seconds = (outside.groupBy("token").agg(F.min(F.struct("alone", "node", "n")).alias("h"), F.count(F.lit(1)).alias("k"))
+               .filter("k > 1").select("token", F.col("h.node").alias("a"), F.col("h.n").alias("na")))
+    stars = (outside.join(seconds, "token").filter("node != a").select("a", F.col("node").alias("b"), "na", F.col("n").alias("nb"))
+             .distinct().filter(lengths_fit))
+    more = stage(_linked(stars, cut, parts, whole), "ngram-stars").filter("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
+    if not more.isEmpty():
+        links = links.union(more)
+        found = stage(components(links), "ngram-components")
+
     # What is left: nodes of one list in different components. All but the list's largest component are few.
     placed = (entries.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
               .join(first.select(F.col("a").alias("hub"), F.col("b").alias("node"), "distance"), ["hub", "node"], "left")
