@@ -125,7 +125,7 @@ class Language:
             low, continuations = np.unique(_low(levels[0][0], order), return_counts=True)
             levels.insert(0, (low, continuations.astype(np.float64)))
         probabilities, weights, below, below_keys = [], [], None, None
-        uniform = 1.0 / (len(levels[0][0]) + 1)
+        uniform = 1.0 / (1 << 16)  # over all symbols there are
         unseen = 0.0
         for order, (grams, count) in enumerate(levels, 1):
             ones, twos = (count == 1).sum(), (count == 2).sum()
@@ -200,7 +200,7 @@ class Model:
     def calibrate(self, entropies: np.ndarray, sizes: np.ndarray, names: list[str]) -> None:
         """Fits the probability of a lead and the usual cross-entropies on labelled texts."""
         index = {x.name: k for k, x in enumerate(self.languages)}
-        usual = np.tile([2.0, 1.0, 4.0], (len(self.languages), 1))
+        usual = np.tile([2.0, 0.25, 4.0], (len(self.languages), 1))  # with too few rows to calibrate
         if names:
             truth = np.array([index.get(n, -1) for n in names])
             best, _, _, _ = self.decide(entropies, sizes)
@@ -310,8 +310,10 @@ def train(df: DataFrame, learn: Column | None = None, text_col: str = "text", la
                     entropies, sizes = shared.value.cross_entropies([texts[i] for i in at[a:b]])
                     yield pa.RecordBatch.from_pydict({"lang": [langs[i] for i in at[a:b]], "h": list(entropies), "n": sizes})
 
-        sample = rows.filter(F.pmod(order, F.lit(10)) == 0).select("text", "lang", order.alias("o")).orderBy("o").limit(calibration_rows)
-        found = sample.select("text", "lang").mapInArrow(measure, "lang string, h array<double>, n long").collect()
+        # The smallest hashes are found without texts; their rows are then measured where they lie.
+        tenth = rows.withColumn("o", order).filter(F.pmod("o", F.lit(10)) == 0)
+        last = tenth.select("o").orderBy("o").limit(calibration_rows).agg(F.max("o")).first()[0]
+        found = tenth.filter(F.col("o") <= F.lit(last)).select("text", "lang").mapInArrow(measure, "lang string, h array<double>, n long").collect()
         model.calibrate(np.array([r.h for r in found]).reshape(-1, len(languages)), np.array([r.n for r in found]), [r.lang for r in found])
     return model
 
