@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from arbolytics.llm.chunk_encoder import ChunkEncoder
-from arbolytics.llm.common import bare, slices, texts_of
+from arbolytics.llm.common import bare, batch_slices, slices, texts_of
 
 
 def byte_characters() -> list[str]:
@@ -128,7 +128,7 @@ def round_trip(df: DataFrame, rank_file: str, pattern: str, text_col: str = "tex
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, table = chunk_encoder(rank_file, pattern), token_bytes(rank_file)
         written = {i: str(i) for i in table}
-        for batch in batches:
+        for batch in (part for whole in batches for part in batch_slices(whole)):
             texts, counts, ids_sha, decoded_sha = texts_of(batch.column("text")), [], [], []
             for ids in map(np.ndarray.tolist, encode(texts)):
                 counts.append(len(ids))

@@ -19,8 +19,8 @@ from arbolytics.llm.common import slices
 Encode = Callable[[list[str]], list[list[int]]]
 #: Chunks that the library gets as one text, as a call for each costs more than its work.
 JOINED = 2_000
-MOST_KNOWN = 1_000_000
-SLICE_CHARS = 4_000_000
+MOST_KNOWN = 200_000
+SLICE_CHARS = 1_000_000
 # Blanks before more white space or at the end: there a blank is no chunk's start.
 # Unicode white space and the four separators that some libraries count as such.
 WIDE_BLANK = r" ([\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|$)"
@@ -36,8 +36,10 @@ class ChunkEncoder:
     ``written`` gives what a tokenizer makes of a chunk before it cuts it.
     """
 
-    def __init__(self, encode: Encode, leading_blank: bool, widths: np.ndarray, written: Callable[[str], str] = str):
+    def __init__(self, encode: Encode, leading_blank: bool, widths: np.ndarray, written: Callable[[str], str] = str,
+                 most_known: int = MOST_KNOWN, slice_chars: int = SLICE_CHARS):
         self.encode, self.leading_blank, self.widths, self.written = encode, leading_blank, widths, written
+        self.most_known, self.slice_chars = most_known, slice_chars
         self._clear()
 
     def _clear(self) -> None:
@@ -74,11 +76,11 @@ class ChunkEncoder:
 
     def __call__(self, texts: list[str]) -> Iterator[np.ndarray]:
         """The ids of each text, in order."""
-        for a, b in slices(texts, SLICE_CHARS):
+        for a, b in slices(texts, self.slice_chars):
             yield from self._slice(texts[a:b])
 
     def _slice(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.known) > MOST_KNOWN:
+        if len(self.known) > self.most_known:
             self._clear()
         column = pa.array(texts, pa.string())
         whole = {}

@@ -35,8 +35,8 @@ CALIBRATION_ROWS = 3_000
 REJECT_AT = 12.0
 UNKNOWN = "und"
 BLANK = 1
-SLICE_CHARS = 4_000_000
-CACHE = 2_000_000
+SLICE_CHARS = 1_000_000
+CACHE = 1_000_000
 
 
 @lru_cache(maxsize=1)

@@ -140,7 +140,7 @@ def encoder(tokenizer_file: str) -> ChunkEncoder:
     for token, k in tokenizer.get_vocab().items():
         widths[k] = len(token.removesuffix("</w>"))  # one character for each byte
     return ChunkEncoder(lambda texts: [x.ids for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)],
-                        leading_blank=False, widths=widths, written=str.lower)
+                        leading_blank=False, widths=widths, written=str.lower, most_known=1_000_000, slice_chars=4_000_000)
 
 
 MANIFEST = "part int, file string, n_docs long, n_ids long, doc_ids binary"
