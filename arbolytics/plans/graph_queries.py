@@ -253,10 +253,12 @@ def unhealthy_plants(graph: Graph) -> DataFrame:
 def _flagged_pairs(rows: DataFrame) -> DataFrame:
     """Sensor and plant pairs with a bad event, from the wide rows.
 
-    An event is a pair in one run: values of different runs are not mixed.
+    An event is a pair in one run: values of different runs are not mixed. Rows without
+    a run date are of one run.
     """
     ph, humidity = F.col("iot_soil_ph"), F.col("iot_soil_humidity")
-    return (rows.groupBy("iot_sensor_id", "iot_plant_id", "today")
+    run = [c for c in ("today",) if c in rows.columns]
+    return (rows.groupBy("iot_sensor_id", "iot_plant_id", *run)
             .agg(F.max((ph < PH_LOW) | (ph > PH_HIGH)).alias("bad_ph"),
                  F.max(humidity < HUMIDITY_LIMIT).alias("dry"))
             .filter("bad_ph AND dry").select("iot_sensor_id", "iot_plant_id").distinct())
