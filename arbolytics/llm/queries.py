@@ -131,5 +131,5 @@ def op9_decontaminate(spark, sf_dir):
 @query("op10_line_dedup")
 def op10_line_dedup(spark, sf_dir):
     """Every document without the lines that repeat an earlier one."""
-    found = line_dedup.line_dedup(table(spark, sf_dir, "documents"))
+    found = line_dedup.line_dedup(table(spark, sf_dir, "documents"), chars_per_edit=line_dedup.CHARS_PER_EDIT)
     return found.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))

@@ -191,3 +191,46 @@ def test_lines_of_odd_rows(docs):
     assert got.columns == [c for c in df.columns if c != "n_removed"] + ["n_lines", "n_removed"]
     assert sorted(((r.doc_id, r.text, r.n_lines, r.n_removed) for r in got.collect()), key=repr) == sorted(
         [(1, line, 1, 0), (1, line, 1, 0), (2, None, 0, 0), (3, "", 1, 0), (None, "", 1, 1), (4, "x\n\n x", 3, 0), (5, "", 1, 1)], key=repr)
+
+
+def around(line, less):
+    """What stands around each third of the words, or of one word fewer; for few words also around the halves."""
+    words = line.split(" ")
+    n = len(line) - less
+    halves = {(n, 0, line[:n // 2]), (n, 1, line[n // 2 + less:])} if len(words) <= L.LEAST_WORDS else set()
+    n = len(words) - less
+    if n < L.LEAST_WORDS:
+        return halves
+    sizes = [n // 3 + (n % 3 >= 3 - i) for i in range(3)]
+    starts = [sum(sizes[:i]) for i in range(3)]
+    return halves | {(n, i, tuple(words[:a]), tuple(words[a + size + less:])) for i, (a, size) in enumerate(zip(starts, sizes, strict=True))}
+
+
+def test_lines_with_a_changed_word(docs):
+    pick = random.Random(7)
+    base = [" ".join("".join(pick.choices("abcdé", k=pick.randrange(2, 9))) for _ in range(n)) for n in (5, 9, 14, 22, 40) for _ in range(3)]
+
+    def changed(line):
+        ws = line.split(" ")
+        at, kind = pick.randrange(len(ws)), pick.random()
+        ws[at:at + (kind > 0.25)] = [] if kind > 0.75 else ["x" * pick.randrange(1, 9)]
+        return " ".join(ws)
+
+    rows = [(d, "\n".join(changed(pick.choice(base)) if pick.random() < 0.7 else pick.choice(base) for _ in range(5))) for d in range(40)]
+    rows += [(90, base[-1] + "\n" + base[-1].replace(" ", "  ", 1)), (91, "x" * 60 + "\n" + "x" * 58 + "yy")]
+    first = {}
+    for d, text in rows:
+        for i, line in enumerate(text.split("\n")):
+            first.setdefault(line, (d, i))
+    order, near = sorted(first, key=first.get), set()
+    for k, b in enumerate(order):
+        for a in order[:k]:
+            if min(len(a), len(b)) < 2 * L.LEAST_SEGMENT:
+                continue
+            close = around(a, 0) & around(b, 0) or around(a, 1) & around(b, 0) or around(a, 0) & around(b, 1)
+            most = max(1, min(len(a), len(b)) // 20) if close else 1
+            if abs(len(a) - len(b)) <= most and b not in near and edits(a, b) <= most:
+                near.add(b)
+    got = {r.doc_id: r.text for r in L.line_dedup(docs(rows), chars_per_edit=20).collect()}
+    assert got == {d: "\n".join(x for i, x in enumerate(t.split("\n")) if first[x] == (d, i) and x not in near) for d, t in rows}
+    assert len(near) > 30 and any(got[d] != r.text for d, r in ((r.doc_id, r) for r in L.line_dedup(docs(rows)).collect()))
