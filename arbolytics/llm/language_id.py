@@ -27,8 +27,6 @@ from arbolytics.llm.words import mix
 from arbolytics.session import stage
 
 ORDER = 4
-#: N-grams kept per language, the most frequent ones; bounds what is collected and broadcast (24 bytes each).
-MOST_NGRAMS = 400_000
 #: Rows in the calibration sample, of the tenth of the labelled rows that is not counted.
 CALIBRATION_ROWS = 3_000
 #: Standard deviations above a language's usual cross-entropy that a text may have.
@@ -267,12 +265,12 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(df: DataFrame, learn: Column | None = None, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
-          most_ngrams: int = MOST_NGRAMS, calibration_rows: int = CALIBRATION_ROWS) -> Model:
+          calibration_rows: int = CALIBRATION_ROWS) -> Model:
     """A model from the rows with a text and a language (and ``learn``, a condition on ``doc_id``).
 
     All rows are counted but a tenth (by a hash of the id), of which ``calibration_rows`` rows calibrate.
-    Per language the n-grams with the highest counts are kept: those above the smallest power of two
-    that leaves at most ``most_ngrams``.
+    Discounts and lower orders follow from all n-grams of a language, and all are kept: the tables are fitted on the
+    driver one language after the other and broadcast whole, so memory follows the distinct n-grams.
     """
     rows = bare(df, doc_id=id_col, text=text_col, lang=lang_col).select("doc_id", F.col("text").cast("string"), F.col("lang").cast("string"))
     rows = rows.filter("text is not null and lang is not null")
@@ -282,22 +280,12 @@ def train(df: DataFrame, learn: Column | None = None, text_col: str = "text", la
     counts = (rows.filter(F.pmod(order, F.lit(10)) != 0).select("lang", "text").mapInArrow(_count, "lang string, gram long, n long")
               .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     counts = stage(counts, "language-counts")
-    powers = counts.groupBy("lang", F.floor(F.log2("n")).cast("int").alias("power")).agg(F.count(F.lit(1)).alias("k")).collect()
-    least: dict[str, int] = {}
-    for lang in {r.lang for r in powers}:
-        kept, floor = 0, 63
-        for r in sorted((r for r in powers if r.lang == lang), key=lambda r: -r.power):
-            if kept + r.k > most_ngrams:
-                break
-            kept, floor = kept + r.k, r.power
-        least[lang] = 1 << floor
     languages = []
-    for lang in sorted(least):
-        found = counts.filter((F.col("lang") == lang) & (F.col("n") >= least[lang])).select("gram", "n").toArrow()
-        if found.num_rows:
-            keys = found.column("gram").to_numpy().view(np.uint64)
-            at = np.argsort(keys)
-            languages.append(Language.fit(lang, keys[at], found.column("n").to_numpy()[at]))
+    for lang in sorted(r.lang for r in counts.select("lang").distinct().collect()):
+        found = counts.filter(F.col("lang") == lang).select("gram", "n").toArrow()
+        keys = found.column("gram").to_numpy().view(np.uint64)
+        at = np.argsort(keys)
+        languages.append(Language.fit(lang, keys[at], found.column("n").to_numpy()[at]))
     model = Model(languages)
     if languages:
         shared = df.sparkSession.sparkContext.broadcast(model)

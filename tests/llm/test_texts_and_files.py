@@ -219,6 +219,19 @@ def test_languages(docs):
     assert [(r.lang_pred, r.score, r.rejected) for r in none] == [("und", 0.0, True)]
 
 
+def test_all_ngrams_of_a_large_language_count(docs):
+    pick = np.random.default_rng(3)
+    texts = ["".join(map(chr, pick.integers(0x4E00, 0x9F00, 15_000))) for _ in range(40)]
+    texts[0] += " ab"
+    df = docs([(i, t, "zh") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    order = {r.doc_id: r.o for r in df.selectExpr("doc_id", "pmod(xxhash64(cast(doc_id as string), 'calibration'), 10) AS o").collect()}
+    keys, counts = np.unique(I.packed_grams([t for i, t in enumerate(texts) if order[i] != 0])[0], return_counts=True)
+    assert len(keys) > 400_000  # more than were kept once
+    want, got = I.Language.fit("zh", keys, counts), I.train(df).languages[0]
+    assert [len(t.hashes) for t in got.probabilities] == [len(t.hashes) for t in want.probabilities]
+    assert np.allclose(got.score(keys[:5000]), want.score(keys[:5000]))
+
+
 def test_model_is_a_distribution():
     grams = I.packed_grams(["banana band bandana", "an ant"])[0]
     keys, counts = np.unique(grams, return_counts=True)
