@@ -64,7 +64,7 @@ def within(pattern: str, text: str, most: int) -> bool:
 class Matcher:
     """Finds the items of one block in texts."""
 
-    def __init__(self, items: list[tuple[int, str]], share: float = ERROR_SHARE):
+    def __init__(self, items: list[tuple[int | None, str]], share: float = ERROR_SHARE):
         import ahocorasick
 
         self.items = [(i, plain(text)) for i, text in items]
@@ -81,8 +81,8 @@ class Matcher:
         if at:
             self.automaton.make_automaton()
 
-    def find(self, text: str | None) -> list[int]:
-        """Sorted ids of the items that the text holds."""
+    def find(self, text: str | None) -> list[int | None]:
+        """Sorted ids of the items that the text holds; null, for items without an id, comes last."""
         if self.empty or not text:
             return []
         text = plain(text)
@@ -100,7 +100,7 @@ class Matcher:
                 tried[k] = start
                 if within(item, text[max(0, start - most):start + len(item) + most], most):
                     found.add(k)
-        return sorted({self.items[k][0] for k in found})
+        return sorted({self.items[k][0] for k in found}, key=lambda i: (i is None, i or 0))
 
 
 _MATCHERS: dict[str, Matcher] = {}
@@ -113,9 +113,9 @@ def known_matcher(name: str, shared, share: float) -> Matcher:
     return _MATCHERS[name]
 
 
-def item_blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple[int, str]]]:
+def item_blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple[int | None, str]]]:
     """Distinct items in blocks of bounded size; the driver holds one block at a time."""
-    rows = bare(benchmark, item_id=id_col, text=text_col).filter("text is not null and item_id is not null").distinct()
+    rows = bare(benchmark, item_id=id_col, text=text_col).filter("text is not null").distinct()
     block, chars = [], 0
     for row in rows.orderBy("item_id", "text").toLocalIterator():
         if block and chars + len(row.text) > BLOCK_CHARS:
@@ -133,7 +133,8 @@ def items_found(benchmark: DataFrame, text: Column, id_col: str = "item_id", tex
 
     A text holds an item if a passage of it is at most ``budget(length of the item)`` edits
     away, both in lower case and with white space as single blanks. Null or empty texts and items
-    match nothing; an item with two texts is found by either; an empty benchmark gives empty lists.
+    match nothing; an item with two texts is found by either; items
+    without an id are searched too, all of them found as one null at the end; an empty benchmark gives empty lists.
     Texts are searched whole. A block of items is broadcast; its size is bounded by ``BLOCK_CHARS``
     (or one longer item), and more items make more blocks.
     """

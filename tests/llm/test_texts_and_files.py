@@ -81,6 +81,16 @@ def test_token_files(docs, spark, tmp_path):
         list(T.FileReader(source).documents(range(3)))
 
 
+def test_items_without_an_id_are_found(docs, monkeypatch):
+    items = ["the first passage of the benchmark set", "another passage that nobody has numbered", "a third one without any number at all"]
+    df = docs([(1, f"x {items[0]} y"), (2, f"x {items[1]} y"), (3, " ".join(items)), (4, "clean"), (5, None)])
+    for chars in (D.BLOCK_CHARS, 10):  # in one block, in a block each
+        monkeypatch.setattr(D, "BLOCK_CHARS", chars)
+        benchmark = docs([(7, items[0]), (None, items[1]), (None, items[2]), (8, None), (None, None)], "item_id long, text string")
+        got = {r.doc_id: (r.contaminated, r.n_items, r.item_ids) for r in D.contaminated(df, benchmark).collect()}
+        assert got == {1: (True, 1, [7]), 2: (True, 1, [None]), 3: (True, 2, [7, None]), 4: (False, 0, []), 5: (False, 0, [])}
+
+
 PAGE = """<html><head><title>x</title><script>var t="</p>";</script></head><body class="has-sidebar"><nav><a href="/">Home</a></nav>
 <div class="ad">Buy</div><article><h1>A &amp; B</h1><p><b>One <i>tw</i>o.<br><p>Three&nbsp; four</p>
 <section id="comments"><article>first!</article></section><form><p>mail</p></form><p>five &lt;six&gt;</article><footer>&copy; x</footer></body></html>"""
