@@ -105,6 +105,14 @@ def test_article_of_a_page(docs):
     assert H.extract_text(docs([], "page_id long, url string, html string")).count() == 0
 
 
+def test_captions_formulas_and_titled_sections_stay():
+    page = """<article><figure><img><figcaption>A caption</figcaption></figure><math><mi>x</mi><mo>=</mo><mn>2</mn></math>
+<object data="a">an object</object><canvas>a drawing</canvas><section id="related-work"><h2 id="search">Search</h2><p>text</section>
+<section id="comments"><p>first</section><section id="x" class="related"><p>more</section><div id="related">else</div></article>
+<section id="cookies">ok</section>"""
+    assert H.main_text(page, []) == "A caption x = 2 an object a drawing Search text"
+
+
 def test_lines_shared_with_the_nearest_pages_go(docs):
     page = lambda i: f"<div>Our shop</div><div>Welcome to page</div><p>Text {i} of its own</p><div>All rights reserved</div>"
     rows = [(i, f"http://h{i % 2}.org/a/{i:03d}?q=1", page(i)) for i in range(30)] + [(90 + i, "http://h0.org/a/000", page(0)) for i in range(3)]
