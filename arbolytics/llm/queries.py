@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from arbolytics.llm import byte_bpe, decontaminate, html_text, language_id, line_dedup, neighbours, ngram_join, substring_dedup, token_files, warc
+from arbolytics.llm import byte_bpe, decontaminate, html_text, language_id, line_dedup, neighbours, ngram_join, simhash, substring_dedup, token_files, warc
 from arbolytics.llm.common import ship
 from arbolytics.session import fresh_path
 
@@ -133,3 +133,9 @@ def op10_line_dedup(spark, sf_dir):
     """Every document without the lines that repeat an earlier one."""
     found = line_dedup.line_dedup(table(spark, sf_dir, "documents"), chars_per_edit=line_dedup.CHARS_PER_EDIT)
     return found.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query("op13_simhash")
+def op13_simhash(spark, sf_dir):
+    """Classes of documents whose fingerprints differ in two bits at most."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), distance=2, length=3)
