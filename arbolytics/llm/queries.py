@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from arbolytics.llm import byte_bpe, decontaminate, html_text, language_id, line_dedup, neighbours, ngram_join, simhash, substring_dedup, token_files, warc
+from arbolytics.llm import byte_bpe, decontaminate, html_text, language_id, line_dedup, merkle, neighbours, ngram_join, simhash, substring_dedup, token_files, warc
 from arbolytics.llm.common import ship
 from arbolytics.session import fresh_path
 
@@ -139,3 +139,49 @@ def op10_line_dedup(spark, sf_dir):
 def op13_simhash(spark, sf_dir):
     """Classes of documents whose fingerprints differ in two bits at most."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), distance=2, length=3)
+
+
+def manifest_rows(docs: DataFrame) -> DataFrame:
+    """Proofs of all rows; where 7 divides the checksum of its id, a row's version has one character more."""
+    chosen = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0, F.lit(False))
+    manifest = merkle.build_manifest(docs, ["doc_id", "source", "lang", "n_chars", "text"],
+                                     changed={"n_chars": F.col("n_chars").cast("decimal(38,0)") + 1}, when=chosen & F.col("n_chars").isNotNull())
+    return merkle.versions(manifest).select(F.col("key.id").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root",
+                                            (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+@query("op12_merkle_manifest", r"""
+    WITH RECURSIVE d AS (SELECT doc_id, coalesce('1' || lang, '0') AS tree, n_chars,
+        [CASE WHEN x IS NULL THEN '-' ELSE strlen(x) || ':' || x END FOR x IN [CAST(doc_id AS VARCHAR), source, lang]] AS head,
+        CASE WHEN text IS NULL THEN '-' ELSE strlen(text) || ':' || text END AS tail,
+        xor(4294967295, list_reduce(string_split(CAST(doc_id AS VARCHAR), ''), lambda crc, x: list_reduce(range(8),
+            lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, xor(crc, ord(x))), 4294967295::UBIGINT)) % 7 = 0 AS chosen
+        FROM (SELECT * REPLACE (CAST(doc_id AS BIGINT) AS doc_id) FROM documents)),
+    l AS (SELECT *, sha256(array_to_string(head, '') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || tail) AS leaf,
+          CASE WHEN chosen AND n_chars IS NOT NULL
+               THEN sha256(array_to_string(head, '') || strlen((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1) || tail) END AS changed FROM d),
+    leaves AS (SELECT doc_id, tree, leaf, changed, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+               count(*) OVER (PARTITION BY tree) AS n FROM l),
+    nodes AS (SELECT tree, 0 AS lvl, pos, leaf AS h, n FROM leaves
+              UNION ALL SELECT tree, lvl + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (n + 1) // 2
+              FROM nodes WHERE n > 1 GROUP BY tree, lvl, pos // 2, n),
+    subroots AS (SELECT tree, h, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1),
+    upper_nodes AS (SELECT 0 AS lvl, pos, h, n FROM subroots
+                    UNION ALL SELECT lvl + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (n + 1) // 2
+                    FROM upper_nodes WHERE n > 1 GROUP BY lvl, pos // 2, n),
+    steps AS (SELECT a.tree, a.pos, v.lvl, (a.pos >> v.lvl) & 1 AS side, s.h
+              FROM leaves a JOIN (SELECT DISTINCT tree, lvl FROM nodes WHERE n > 1) v ON a.tree = v.tree
+              LEFT JOIN nodes s ON s.tree = a.tree AND s.lvl = v.lvl AND s.pos = xor(a.pos >> v.lvl, 1)
+              UNION ALL SELECT a.tree, a.pos, 1000 + v.lvl, (r.pos >> v.lvl) & 1, s.h
+              FROM leaves a JOIN subroots r ON a.tree = r.tree CROSS JOIN (SELECT DISTINCT lvl FROM upper_nodes WHERE n > 1) v
+              LEFT JOIN upper_nodes s ON s.lvl = v.lvl AND s.pos = xor(r.pos >> v.lvl, 1)),
+    paths AS (SELECT tree, pos, list(CASE WHEN h IS NULL THEN '' WHEN side = 1 THEN 'L' || h ELSE 'R' || h END ORDER BY lvl) AS path,
+              coalesce(string_agg(h, '' ORDER BY lvl), '') AS proof FROM steps GROUP BY tree, pos),
+    folded AS (SELECT a.doc_id, a.leaf, r.h AS subroot, (SELECT h FROM upper_nodes WHERE n = 1) AS root, sha256(coalesce(proof, '')) AS proof_sha256,
+               list_reduce(coalesce(path, []), lambda x, s: sha256(CASE WHEN s[1] = 'L' THEN s[2:] || x ELSE x || s[2:] END),
+                           coalesce(a.changed, a.leaf)) AS folded_root
+               FROM leaves a JOIN subroots r ON a.tree = r.tree LEFT JOIN paths p ON a.tree = p.tree AND a.pos = p.pos)
+    SELECT *, folded_root = root AS verified FROM folded""")
+def op12_merkle_manifest(spark, sf_dir):
+    """Every document's leaf, proof and version in the manifest of the whole table."""
+    return manifest_rows(table(spark, sf_dir, "documents"))
