@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from arbolytics.llm import byte_bpe, decontaminate, html_text, language_id, line_dedup, merkle, neighbours, ngram_join, simhash, substring_dedup, token_files, warc
+from arbolytics.llm import alignment, byte_bpe, decontaminate, html_text, language_id, line_dedup, merkle, neighbours, ngram_join, simhash, substring_dedup, token_files, warc
 from arbolytics.llm.common import ship
 from arbolytics.session import fresh_path
 
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 WORD_FILE, WORD_END = "word_bpe_49k.json", 2
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
+BYTE_FILE, PIECE_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def query(name: str, sql: str | None = None):
@@ -185,3 +186,9 @@ def manifest_rows(docs: DataFrame) -> DataFrame:
 def op12_merkle_manifest(spark, sf_dir):
     """Every document's leaf, proof and version in the manifest of the whole table."""
     return manifest_rows(table(spark, sf_dir, "documents"))
+
+
+@query("op11_alignment")
+def op11_alignment(spark, sf_dir):
+    """How the tokens of two vocabularies meet in every document."""
+    return alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_FILE), public_tokenizers.path(PIECE_FILE)).documents
