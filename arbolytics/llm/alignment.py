@@ -11,11 +11,15 @@ stay rows of their own, numbered by the range in which they end.
 How many documents hold a linked pair is counted by packs: a pack is some megabytes of documents of one task. It sends
 each of its pairs once with its number of documents, and gets each count back once, so a pair that all
 documents hold costs a row for each pack. What the pack keeps meanwhile is a compressed sparse table of its documents' pairs.
+
+No token crosses a single blank between visible characters, so a text is the composition of its words' alignments, and a word is
+encoded and aligned once while a bounded cache keeps it.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 import unicodedata
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
@@ -23,13 +27,14 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from arbolytics.llm import packed
 from arbolytics.llm.byte_bpe import byte_characters
-from arbolytics.llm.chunk_encoder import ChunkEncoder
+from arbolytics.llm.chunk_encoder import WIDE_BLANK
 from arbolytics.llm.common import bare, batch_slices, pieces
 from arbolytics.session import stage
 
@@ -38,7 +43,11 @@ RANGE_CHARS = 1 << 16
 #: Fragments composed in one task of a round.
 FAN = 16
 #: Bytes of text in a pack, about.
-PACK_BYTES = 4 << 20
+PACK_BYTES = 2 << 20
+#: Words that the library gets as one text, as a call for each costs more than its work.
+JOINED = 2_000
+#: The cache of words is emptied beyond so many; that changes no result.
+MOST_KNOWN = 800_000
 SEPARATORS = np.frombuffer(b",|;", np.uint8)
 
 
@@ -46,9 +55,15 @@ class Spelling:
     """Byte strings by id, in one array."""
 
     def __init__(self, strings: list[bytes]):
-        self.widths = np.array([len(s) for s in strings], np.int64)
-        self.starts = np.cumsum(self.widths) - self.widths
-        self.data = np.frombuffer(b"".join(strings), np.uint8)
+        self.widths = self.starts = np.zeros(0, np.int64)
+        self.data = np.zeros(0, np.uint8)
+        self.add(strings)
+
+    def add(self, strings: list[bytes]) -> None:
+        widths = np.array([len(s) for s in strings], np.int64)
+        self.starts = np.concatenate([self.starts, len(self.data) + np.cumsum(widths) - widths])
+        self.widths = np.concatenate([self.widths, widths])
+        self.data = np.concatenate([self.data, np.frombuffer(b"".join(strings), np.uint8)])
 
     def __call__(self, ids: np.ndarray) -> np.ndarray:
         """The bytes of the ids, one after another."""
@@ -61,7 +76,7 @@ class Spelling:
 class Vocabulary:
     """Ids of texts that begin with a blank, and the bytes and decimal digits of each id."""
 
-    encode: Callable[[list[str]], Iterator[np.ndarray]]
+    encode: Callable[[list[str]], list[list[int]]]
     spelling: Spelling
     size: int
     digits: Spelling = field(init=False)
@@ -83,8 +98,7 @@ def byte_level(path: str) -> Vocabulary:
     names = {i: t for t, i in library.get_vocab(with_added_tokens=True).items()}
     strings = [bytes(byte[c] for c in names.get(i, "")) for i in range(max(names) + 1)]
     spelling = Spelling(strings)
-    chunks = ChunkEncoder(lambda texts: [x.ids for x in library.encode_batch_fast(texts, add_special_tokens=False)], True, spelling.widths)
-    return Vocabulary(chunks, spelling, len(strings))
+    return Vocabulary(lambda texts: [x.ids for x in library.encode_batch_fast(texts, add_special_tokens=False)], spelling, len(strings))
 
 
 def pieces_of(path: str) -> Vocabulary:
@@ -95,8 +109,7 @@ def pieces_of(path: str) -> Vocabulary:
     strings = [bytes([int(p[3:5], 16)]) if library.is_byte(i) else p.replace("▁", " ").encode()
                for i, p in enumerate(map(library.id_to_piece, range(library.get_piece_size())))]
     spelling = Spelling(strings)
-    chunks = ChunkEncoder(lambda texts: library.encode([t[1:] for t in texts], num_threads=1), True, spelling.widths)
-    return Vocabulary(chunks, spelling, len(strings))
+    return Vocabulary(lambda texts: library.encode([t[1:] for t in texts], num_threads=1), spelling, len(strings))
 
 
 @lru_cache(maxsize=2)
@@ -114,8 +127,8 @@ class Tokens:
     cuts_b: np.ndarray
 
     @classmethod
-    def of(cls, a: list[np.ndarray], b: list[np.ndarray]) -> "Tokens":
-        flat = lambda x: np.concatenate(x).astype(np.int64) if x else np.empty(0, np.int64)
+    def of(cls, a: list[list[int]], b: list[list[int]]) -> "Tokens":
+        flat = lambda x: np.concatenate([np.array(y, np.int64) for y in x]) if x else np.empty(0, np.int64)
         cuts = lambda x: np.cumsum([0, *map(len, x)])
         return cls(flat(a), flat(b), cuts(a), cuts(b))
 
@@ -127,12 +140,12 @@ def encoded(texts: list[str], va: Vocabulary, vb: Vocabulary) -> tuple[np.ndarra
     """
     places = [i for i, t in enumerate(texts) if t]
     blanked = [" " + texts[i] for i in places]
-    a, b, raw = list(va.encode(blanked)), list(vb.encode(blanked)), [t.encode("utf-8", "surrogatepass") for t in blanked]
+    a, b, raw = va.encode(blanked), vb.encode(blanked), [t.encode("utf-8", "surrogatepass") for t in blanked]
     fits = [r for r, x in enumerate(raw) if va.spelling.widths[a[r]].sum() == len(x) == vb.spelling.widths[b[r]].sum()]
     whole, ends = np.frombuffer(b"".join(raw[r] for r in fits), np.uint8), np.cumsum([len(raw[r]) for r in fits])
     wrong = set()
     for ids, v in ((a, va), (b, vb)):
-        spelled = v.spelling(np.concatenate([ids[r] for r in fits])) if fits else whole
+        spelled = v.spelling(np.concatenate([np.array(ids[r], np.int64) for r in fits])) if fits else whole
         wrong |= set(np.searchsorted(ends, np.flatnonzero(spelled != whole), "right").tolist())
     fits = [r for k, r in enumerate(fits) if k not in wrong]
     return np.array([places[r] for r in fits], np.int64), Tokens.of([a[r] for r in fits], [b[r] for r in fits])
@@ -193,6 +206,121 @@ def aligned(tokens: Tokens, va: Vocabulary, vb: Vocabulary) -> Aligned:
     return Aligned(per_run(closed), n_links, written, keyed // (va.size * vb.size), keyed % (va.size * vb.size), times)
 
 
+def words_of(texts: list[str]) -> Iterator[tuple[list[int], pa.ListArray]]:
+    """Places of texts, and the words that their tokens do not cross; white space beyond single blanks stays in a word."""
+    column = pa.array(texts, pa.string())
+    odd = pc.or_(pc.match_substring_regex(column, "^ |" + WIDE_BLANK), pc.match_substring(column, "▁"))
+    for places, cut in ((pc.indices_nonzero(pc.invert(odd)), lambda x: pc.split_pattern(x, " ")),
+                        (pc.indices_nonzero(odd), lambda x: pa.array([_CUT.split(t) for t in x.to_pylist()], pa.list_(pa.string())))):
+        if len(places):
+            yield places.to_pylist(), cut(column.take(places))
+
+
+_CUT = re.compile(r"(?<=[^\s▁]) (?=[^\s▁])")
+
+
+@dataclass
+class Sums:
+    """Figures of texts by their places in a list; ``run``, ``pair`` and ``times`` are those of their distinct pairs."""
+
+    places: list[int]
+    numbers: np.ndarray  # n_a, n_b, n_groups and n_links of each
+    digests: list[str]
+    run: np.ndarray
+    pair: np.ndarray
+    times: np.ndarray
+
+
+class WordTable:
+    """Alignments of words, each made once while it is known."""
+
+    def __init__(self, va: Vocabulary, vb: Vocabulary):
+        self.va, self.vb = va, vb
+        self._clear()
+
+    def _clear(self) -> None:
+        self.known: dict[str, int] = {}
+        self.numbers = np.zeros((0, 4), np.int64)
+        self.good = np.zeros(0, bool)
+        self.written = Spelling([])
+        self.pairs_end = np.zeros(0, np.int64)
+        self.pair = self.times = np.zeros(0, np.int64)
+
+    def _joined(self, words: list[str]) -> tuple[np.ndarray, Tokens]:
+        """Places of the words with tokens, and these: encoded as one text if that keeps all bytes, else one by one."""
+        ends = np.cumsum([len(w.encode("utf-8", "surrogatepass")) + 1 for w in words])
+        if "" not in words:
+            good, whole = encoded([" ".join(words)], self.va, self.vb)
+            if len(good):
+                cuts = []
+                for ids, v in ((whole.a, self.va), (whole.b, self.vb)):
+                    reached = np.cumsum(v.spelling.widths[ids])
+                    at = np.searchsorted(reached, ends)
+                    if (reached[at] != ends).any():
+                        break
+                    cuts.append(np.concatenate([[0], at + 1]))
+                else:
+                    return np.arange(len(words)), Tokens(whole.a, whole.b, *cuts)
+        # An empty word is the blank that the text begins with.
+        a, b = (v.encode([" " + w for w in words]) for v in (self.va, self.vb))
+        kept = [i for i, w in enumerate(words) if all(
+            v.spelling(np.array(ids[i], np.int64)).tobytes() == (" " + w).encode("utf-8", "surrogatepass") for ids, v in ((a, self.va), (b, self.vb)))]
+        return np.array(kept, np.int64), Tokens.of([a[i] for i in kept], [b[i] for i in kept])
+
+    def _learn(self, words: list[str]) -> None:
+        numbers, good, written, pair, times, counts = [self.numbers], [self.good], [], [self.pair], [self.times], []
+        for at in range(0, len(words), JOINED):
+            part = words[at:at + JOINED]
+            places, tokens = self._joined(part)
+            found = aligned(tokens, self.va, self.vb)
+            rows, ok, per = np.zeros((len(part), 4), np.int64), np.zeros(len(part), bool), np.zeros(len(part), np.int64)
+            rows[places] = np.stack([np.diff(tokens.cuts_a), np.diff(tokens.cuts_b), found.n_groups, found.n_links], 1)
+            ok[places], per[places] = True, np.bincount(found.run, minlength=len(places))
+            texts = [b""] * len(part)
+            for i, x in zip(places.tolist(), found.written, strict=True):
+                texts[i] = bytes(x) + b";"
+            written += texts
+            numbers.append(rows), good.append(ok), counts.append(per), pair.append(found.pair), times.append(found.times)
+        self.known.update(zip(words, range(len(self.known), len(self.known) + len(words)), strict=True))
+        self.numbers, self.good, self.pair, self.times = map(np.concatenate, (numbers, good, pair, times))
+        self.pairs_end = np.concatenate([self.pairs_end, np.cumsum(np.concatenate(counts)) + (self.pairs_end[-1] if len(self.pairs_end) else 0)])
+        self.written.add(written)
+
+    def __call__(self, places: list[int], lists: pa.ListArray) -> Sums:
+        """The figures of the texts at ``places`` whose words are given; texts with a bad word are left out."""
+        if len(self.known) > MOST_KNOWN:
+            self._clear()
+        coded = lists.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        new = [w for w in distinct if w not in self.known]
+        if new:
+            self._learn(new)
+        of_distinct = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
+        words, cuts = of_distinct[coded.indices.to_numpy()], lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        total = lambda x: (y := np.concatenate([np.zeros((1, *x.shape[1:]), np.int64), np.cumsum(x, 0)]))[cuts[1:]] - y[cuts[:-1]]
+        kept = total(~self.good[words]) == 0
+        digests = [hashlib.sha256(self.written(words[a:b])[:-1]).hexdigest() if k else ""
+                   for a, b, k in zip(cuts[:-1].tolist(), cuts[1:].tolist(), kept.tolist(), strict=True)]
+        run = np.repeat(np.cumsum(kept) - 1, np.diff(cuts))[np.repeat(kept, np.diff(cuts))]
+        words_kept = words[np.repeat(kept, np.diff(cuts))]
+        numbers = total(self.numbers[words])[kept]
+        # Words of each text once, then their pairs.
+        keyed, often = np.unique(run * len(self.known) + words_kept, return_counts=True)
+        run, word = np.divmod(keyed, len(self.known))
+        size = np.diff(self.pairs_end, prepend=0)[word]
+        at = np.repeat(self.pairs_end[word] - np.cumsum(size), size) + np.arange(size.sum())
+        pairs = self.va.size * self.vb.size
+        keyed, order = np.unique(np.repeat(run, size) * pairs + self.pair[at], return_inverse=True)
+        times = np.bincount(order, np.repeat(often, size) * self.times[at], len(keyed)).astype(np.int64)
+        return Sums([p for p, k in zip(places, kept.tolist(), strict=True) if k], numbers, [d for d, k in zip(digests, kept.tolist(), strict=True) if k],
+                    keyed // pairs, keyed % pairs, times)
+
+
+@lru_cache(maxsize=1)
+def word_table(path_a: str, path_b: str) -> WordTable:
+    return WordTable(*vocabularies(path_a, path_b))
+
+
 @dataclass
 class Fragment:
     """Tokens of neighbouring byte ranges: those up to the first common end, closed runs between, those after the last one.
@@ -347,30 +475,35 @@ class Packs:
         return self.next - 2
 
 
-def _pack_row(pack: int, found: Aligned) -> tuple:
+def _pack_row(pack: int, found: Aligned | Sums) -> tuple:
     pairs, at, documents = np.unique(found.pair, return_inverse=True, return_counts=True)
-    blob = packed.pack((found.run * len(pairs) + at).astype(np.uint64), found.times.astype(np.uint32))
+    blob = packed.pack((found.run * len(pairs) + at).astype(np.uint64), found.times.astype(np.uint32)) if len(pairs) else None
     return (pack, -1, *[None] * 9, pairs, documents, blob)
 
 
 def measured_texts(short: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """A row for each text with its figures, and one (``at`` -1) for each pack with its pairs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        va, vb = vocabularies(path_a, path_b)
-        number = Packs(0)
+        table, number = word_table(path_a, path_b), Packs(0)
         for batch in (part for whole in batches for part in batch_slices(whole, PACK_BYTES)):
-            ids, texts, pack = batch.column("doc_id").to_pylist(), [x or "" for x in batch.column("text").to_pylist()], number()
-            good, tokens = encoded(texts, va, vb)
-            found = aligned(tokens, va, vb)
-            n_a, n_b = np.diff(tokens.cuts_a).tolist(), np.diff(tokens.cuts_b).tolist()
-            rows = [(pack, r, None, None, ids[i], n_a[r], n_b[r], int(found.n_groups[r]), int(found.n_links[r]),
-                     hashlib.sha256(found.written[r]).hexdigest(), *[None] * 4) for r, i in enumerate(good.tolist())]
-            rows += [(pack, None, None, None, ids[i], 0, 0, 0, 0, "", *[None] * 4) for i in set(range(len(ids))) - set(good.tolist())]
-            yield _batch([*rows, _pack_row(pack, found)], _MEASURED)
+            ids, texts = batch.column("doc_id").to_pylist(), [x or "" for x in batch.column("text").to_pylist()]
+            left = set(range(len(ids)))
+            full = [i for i in range(len(ids)) if texts[i]]
+            for places, words in words_of([texts[i] for i in full]):
+                found, pack = table([full[p] for p in places], words), number()
+                left -= set(found.places)
+                yield _batch([*((pack, r, None, None, ids[i], *numbers, digest, *[None] * 4) for r, (i, numbers, digest) in enumerate(
+                    zip(found.places, found.numbers.tolist(), found.digests, strict=True))), _pack_row(pack, found)], _MEASURED)
+            # Rows without tokens go with a pack of their own.
+            pack = number()
+            yield _batch([*((pack, None, None, None, ids[i], 0, 0, 0, 0, "", *[None] * 4) for i in sorted(left)), _pack_row(pack, _NOTHING)], _MEASURED)
 
     return short.mapInArrow(run, MEASURED)
 
 
+_NOTHING = Sums([], np.zeros((0, 4), np.int64), [], *[np.zeros(0, np.int64)] * 3)
+
+
 def measured_runs(runs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """As ``measured_texts`` for closed runs; each row keeps its groups in writing and its own pairs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -409,13 +542,13 @@ _SCORED = pa.schema([(n, _MEASURED.field(n).type if n in _MEASURED.names else pa
 
 def _scored(rows: pa.Table, counts: pa.Table) -> pa.Table:
     """The rows of a pack with the sums over their links."""
-    head = rows.filter(pa.compute.equal(rows.column("at"), -1)).to_pylist()[0]
+    head = rows.filter(pc.equal(rows.column("at"), -1)).to_pylist()[0]
     order = np.argsort(counts.column("pair").to_numpy())
     documents, best = (counts.column(c).to_numpy(zero_copy_only=False)[order].astype(np.int64) for c in ("documents", "best"))
-    keys, times = packed.unpack(head["blob"])
+    keys, times = packed.unpack(head["blob"]) if head["blob"] else (np.empty(0, np.uint64), np.empty(0, np.uint32))
     run, at = np.divmod(keys.astype(np.int64), max(len(order), 1))
-    rows = rows.filter(pa.compute.fill_null(pa.compute.not_equal(rows.column("at"), -1), True))
-    place = pa.compute.fill_null(rows.column("at"), -1).to_numpy()
+    rows = rows.filter(pc.fill_null(pc.not_equal(rows.column("at"), -1), True))
+    place = pc.fill_null(rows.column("at"), -1).to_numpy()
     cuts = np.searchsorted(run, np.arange(place.max(initial=-1) + 2))
     for name, values in (("n_best", best), ("count_sum", documents)):
         total = np.concatenate([[0], np.cumsum(values[at] * times)]) if len(at) else np.zeros(1, np.int64)

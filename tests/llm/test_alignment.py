@@ -88,6 +88,24 @@ def test_texts(docs, monkeypatch, libraries, size):
     assert {tuple(r) for r in got.pairs.collect()} == pairs
 
 
+def test_words_are_known_or_not(libraries, monkeypatch):
+    """A cache that is emptied all the time, and words joined by few or many, change nothing."""
+    texts = [t for _, t in some_rows() if t] + ["plain words and others here", "bad ▁ one", "two  blanks", " begins", "ends "]
+    found = []
+    for known, joined in ((0, 3), (10 ** 6, 2000)):
+        monkeypatch.setattr(G, "MOST_KNOWN", known)
+        monkeypatch.setattr(G, "JOINED", joined)
+        table, out = G.WordTable(*G.vocabularies(A, B)), {}
+        for part in (texts[:20], texts[20:]):
+            for places, words in G.words_of(part):
+                x = table(places, words)
+                out.update({part[p]: (n, d) for p, n, d in zip(x.places, x.numbers.tolist(), x.digests)})
+        found.append(out)
+    assert found[0] == found[1]
+    wanted = {t: (list(r[1:5]), r[-1]) for t in texts for r in brute([(1, t)], libraries)[0] if r[-1]}
+    assert found[0] == wanted
+
+
 def test_groups(docs, monkeypatch, libraries):
     monkeypatch.setattr(G, "RANGE_CHARS", 30)
     rows = [(d, t) for d, t in some_rows() if d is not None and d > 3]
