@@ -47,7 +47,7 @@ PACK_BYTES = 2 << 20
 #: Words that the library gets as one text, as a call for each costs more than its work.
 JOINED = 2_000
 #: The cache of words is emptied beyond so many; that changes no result.
-MOST_KNOWN = 800_000
+MOST_KNOWN = 400_000
 SEPARATORS = np.frombuffer(b",|;", np.uint8)
 
 
