@@ -115,6 +115,26 @@ class LabelScaler:
         return rows.withColumn(value, self.scaled(F.col(label), F.col(value)))
 
 
+def event_summaries(rows: DataFrame, vertex: Column, metrics: Sequence[str], together: Sequence[tuple[str, str]] = ()) -> DataFrame:
+    """Least, greatest and spread of every metric over the readings of a vertex.
+
+    For each (a, b) of ``together`` also the least and the greatest b among the readings with the least a. Metrics judged
+    together at one event show in these; each metric's own summary cannot show that they coincide. All are partial aggregates.
+    """
+    columns = []
+    for m in metrics:
+        columns += [F.min(m).alias(f"least_{m}"), F.max(m).alias(f"greatest_{m}"), F.stddev_pop(m).alias(f"spread_{m}")]
+    for a, b in together:
+        columns += [F.min(F.struct(a, b))[b].alias(f"least_{b}_at_least_{a}"),
+                    F.max(F.struct((-F.col(a)).alias(a), F.col(b)))[b].alias(f"greatest_{b}_at_least_{a}")]
+    return rows.groupBy(vertex.alias("vertex")).agg(*columns)
+
+
+def summary_kinds(columns: Sequence[str]) -> dict[str, str]:
+    """The aggregate that carries a summary on to the neighbours: least of the least, greatest of the greatest, mean of the others."""
+    return {c: "min" if c.startswith("least_") else "max" if c.startswith("greatest_") else "avg" for c in columns}
+
+
 def encode_labels(rows: DataFrame, labels: Sequence[str], label: str = "value_label") -> DataFrame:
     """One 0/1 column per label instead of the label."""
     return rows.select("*", *one_hot(F.col(label), labels, label + "_")).drop(label)

@@ -44,3 +44,15 @@ def propagate(edges: DataFrame, features: DataFrame, columns: Sequence[str], hop
         if i < hops - 1:
             features = stage(features, "propagation-round")
     return features
+
+
+def neighbour_summaries(edges: DataFrame, features: DataFrame, columns: dict[str, str], names: dict[str, str] | None = None) -> DataFrame:
+    """For each target of the edges (src, dst) one aggregate (``min``, ``max`` or ``avg``) of each column over its sources.
+
+    Unlike sums over neighbours, the least and the greatest keep what a single neighbour has. Each is built
+    per task before the shuffle. ``names`` renames the results.
+    """
+    kinds = {"min": F.min, "max": F.max, "avg": F.avg}
+    found = edges.select("src", "dst").join(features.withColumnRenamed("vertex", "src"), "src")
+    return found.groupBy(F.col("dst").alias("vertex")).agg(
+        *[kinds[kind](c).alias((names or {}).get(c, c)) for c, kind in columns.items()])

@@ -9,10 +9,12 @@ from arbolytics.plans import features as M
 from arbolytics.plans import graph_queries as Q
 from arbolytics.plans import model
 from arbolytics.plans.graph_build import build_graph
-from arbolytics.plans.propagation import propagate, with_self_loops
+from arbolytics.plans.propagation import neighbour_summaries, propagate, with_self_loops
 from arbolytics.session import fresh_path, stage
 from arbolytics.sinks.tables import write_csv
 from arbolytics.sources.files import read_csv_by_header
+from arbolytics.sources.streams import file_source
+from arbolytics.streaming import runner as R
 from arbolytics.operators.clean import rows_not_in
 from arbolytics.workload import bindings as B
 from arbolytics.workload import sql
@@ -191,27 +193,33 @@ def class_count(spark, folder):
     return model.class_count(B.table(spark, folder, "lineitem"), "l_returnflag")
 
 
-MODEL_COLUMNS = [f"mean_{m}" for m in ("co", "smoke", "temp", "rainfall", "soil_ph", "soil_humidity")]
+MODEL_METRICS = [f"iot_{m}" for m in ("co", "smoke", "temp", "rainfall", "soil_ph", "soil_humidity")]
+TOGETHER = [("iot_soil_humidity", "iot_soil_ph")]
 
 
-def _scored(spark, folder) -> DataFrame:
-    """Plants with two rounds of neighbour sums as features and their status as label."""
+def _labelled(spark, folder) -> tuple[DataFrame, list[str]]:
+    """Staged plants with features of two rounds and their status as label, and the names of the features.
+
+    A sensor sums up the readings of its events, a plant the summaries of its sensors.
+    """
     rows, keys = B.value_and_key_rows(spark, folder)
-    means = [F.avg(f"iot_{c[5:]}").alias(c) for c in MODEL_COLUMNS]
-    plant, sensor = F.concat(F.lit("PLANT_"), "iot_plant_id"), F.concat(F.lit("SENSOR_"), "iot_sensor_id")
-    vertices = stage(rows.groupBy(plant.alias("vertex")).agg(*means).unionByName(
-        rows.groupBy(sensor.alias("vertex")).agg(*means)), "vertex-features")
-    g = build_graph(rows, B.SPECS, keys)
-    measures = g.edges["measures"].select(F.explode(F.array(
-        F.struct(F.col(":START_ID").alias("src"), F.col(":END_ID").alias("dst")),
-        F.struct(F.col(":END_ID").alias("src"), F.col(":START_ID").alias("dst")))).alias("e")).select("e.*")
-    spread = propagate(with_self_loops(measures, vertices), vertices, MODEL_COLUMNS, 2)
+    rows = stage(rows.select("iot_sensor_id", "iot_plant_id", "today", *MODEL_METRICS), "model-readings")
+    keys = stage(keys, "model-keys")
+    sensors = M.event_summaries(rows, F.concat(F.lit("SENSOR_"), "iot_sensor_id"), MODEL_METRICS, TOGETHER)
+    g = build_graph(rows, B.SPECS, keys, stage_keys=False)
+    measures = g.edges["measures"].select(F.col(":START_ID").alias("src"), F.col(":END_ID").alias("dst"))
+    columns = [c for c in sensors.columns if c != "vertex"]
+    spread = neighbour_summaries(measures, stage(sensors, "sensor-summaries"), M.summary_kinds(columns))
     status = Q.plant_status(Q.all_healthy(g), Q.unhealthy_by_sensor(rows, keys))
     labelled = status.join(spread, F.col("vertex") == F.col("plant_id")).select(
-        "plant_id", F.col("status").alias("plant_status"), *MODEL_COLUMNS)
+        "plant_id", F.col("status").alias("plant_status"), *columns)
     # Staged, as every pass of the fit reads it.
-    labelled = stage(M.hold_out(M.with_split(labelled, ["plant_id"]), "plant_id"), "model-rows")
-    return model.score(model.fit(labelled, MODEL_COLUMNS), labelled, MODEL_COLUMNS)
+    return stage(M.hold_out(M.with_split(labelled, ["plant_id"]), "plant_id"), "model-rows"), columns
+
+
+def _scored(spark, folder) -> DataFrame:
+    labelled, columns = _labelled(spark, folder)
+    return model.score(model.fit(labelled, columns, epochs=200), labelled, columns)
 
 
 LABELLED = f"""{UNHEALTHY}, status AS (SELECT DISTINCT 'PLANT_' || plant_id AS plant_id,
@@ -253,3 +261,29 @@ def predictions_table(spark, folder):
     back = read_csv_by_header(spark, path, T.StructType.fromDDL(columns))
     return back.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(
         F.col("predicted_status").isin(0.0, 1.0)).alias("n_predicted"))
+
+
+@query("model_reload", sql.over_wide_ctes(TRAINING, """
+    SELECT value_label, count(*) AS n_rows, count(*) AS n_same, count(*) AS n_streamed, count(*) AS n_streamed_same
+    FROM training GROUP BY value_label"""))
+def model_reload(spark, folder):
+    """Scaler, encoder and network over all training rows, saved and loaded: rows with equal predictions before and after.
+
+    The loaded pipeline also scores the rows as a stream.
+    """
+    path = fresh_path(spark, "reload-rows")
+    _training(spark, folder).select("plant_id", "value_label", "value", "plant_status").write.parquet(path)
+    rows = M.with_split(spark.read.parquet(path), ["plant_id"])
+    fitted = model.row_pipeline(B.NUMERIC_LABELS, epochs=10).fit(rows.filter("split = 'train'"))
+    saved = fresh_path(spark, "model")
+    model.save(fitted, saved)
+    loaded = model.load(saved)
+
+    def both(df: DataFrame) -> DataFrame:
+        before = model.score_rows(fitted, df).withColumnsRenamed({"probability_healthy": "p", "predicted_status": "s"})
+        return model.score_rows(loaded, before).select("value_label", (
+            (F.col("p") == F.col("probability_healthy")) & (F.col("s") == F.col("predicted_status"))).alias("same"))
+
+    streamed = R.run_append(both(file_source(spark, path, rows.drop("split").schema)), "reload", fresh_path(spark, "scored"), fresh_path(spark, "checkpoint"))
+    count = lambda df, n, same: df.groupBy("value_label").agg(F.count(F.lit(1)).alias(n), F.count_if("same").alias(same))
+    return count(both(rows), "n_rows", "n_same").join(count(streamed, "n_streamed", "n_streamed_same"), "value_label")

@@ -10,7 +10,7 @@ from arbolytics.plans import graph_queries as Q
 from arbolytics.plans import model
 from arbolytics.plans.graph_build import build_graph
 from arbolytics.plans.graph_spec import node_specs
-from arbolytics.plans.propagation import propagate, with_self_loops
+from arbolytics.plans.propagation import neighbour_summaries, propagate, with_self_loops
 from arbolytics.sources.schemas import NUMERIC_METRICS
 from tests import fixtures as X
 
@@ -118,3 +118,74 @@ def test_model(spark, folder):
     assert model.class_count(rows).first()[0] == 2
     with pytest.raises(ValueError, match="label"):
         model.fit(rows, ["x", "plant_status"])
+
+
+def health_rows(spark, n=600):
+    """Two metrics that are bad only together, which no single bound can tell."""
+    rows = spark.range(n).select(F.col("id").alias("k"), (F.col("id") * 7 % 20).cast("double").alias("x"), (F.col("id") * 11 % 13).cast("double").alias("y"))
+    return M.with_split(rows.withColumn("plant_status", F.when((F.col("x") > 9) == (F.col("y") > 6), 1.0).otherwise(0.0)), ["k"])
+
+
+def test_hidden_layer_learns_what_lines_cannot(spark):
+    rows = health_rows(spark).cache()
+    found = {r.split: r for r in model.metrics(model.score(model.fit(rows, ["x", "y"], epochs=200), rows, ["x", "y"])).collect()}
+    assert found["train"].accuracy > 0.95 and found["test"].accuracy > 0.9
+
+
+def test_rows_without_a_feature_have_no_prediction(spark, folder):
+    rows = health_rows(spark, 80).withColumn("x", F.when(F.col("k") % 5 > 0, F.col("x")))
+    fitted = model.fit(rows, ["x", "y"], epochs=5)
+    model.save(fitted, f"{folder}/m")
+    scored = model.score(model.load(f"{folder}/m"), rows, ["x", "y"])
+    assert scored.columns == [*rows.columns, "probability_healthy", "predicted_status"]
+    assert {(r.k % 5 > 0, r.predicted_status is not None, r.probability_healthy is not None) for r in scored.collect()} == {(True,) * 3, (False,) * 3}
+    assert sum(r.n_incomplete for r in model.incomplete_rows(rows, ["x", "y"]).collect()) == 16
+
+
+def long_rows(spark):
+    rows = [(["ph", "dry"][i % 2], str(float(i % 20)), 1.0 if i % 20 > 9 else 0.0) for i in range(400)]
+    return spark.createDataFrame(rows, "value_label string, value string, plant_status double")
+
+
+def test_label_bounds_are_saved_with_the_pipeline(spark, folder):
+    rows = long_rows(spark)
+    fitted = model.row_pipeline(["dry", "ph"], epochs=20).fit(rows)
+    model.save(fitted, f"{folder}/pipeline")
+    loaded = model.load(f"{folder}/pipeline")
+    bounds = loaded.stages[0]
+    assert isinstance(bounds, model.LabelBoundsModel)
+    assert (bounds.getOrDefault("labels"), bounds.getOrDefault("least"), bounds.getOrDefault("greatest")) == (["dry", "ph"], [1.0, 0.0], [19.0, 18.0])
+    order = ["value_label", "value"]
+    before, after = (model.score_rows(m, rows).orderBy(order).collect() for m in (fitted, loaded))
+    assert before == after and sum(r.predicted_status == r.plant_status for r in after) > 380
+    odd = model.score_rows(loaded, spark.createDataFrame([("ph", "no number"), ("ph", None), ("ph", "3")], "value_label string, value string")).collect()
+    assert [r.predicted_status is None for r in odd] == [True, True, False] and odd[0].value == "no number"
+
+
+def test_label_bounds_of_odd_rows(spark):
+    with pytest.raises(ValueError, match="without a place"):
+        model.LabelBounds(labels=["ph"]).fit(long_rows(spark))
+    empty = model.LabelBounds(labels=["ph"]).fit(long_rows(spark).limit(0))
+    assert [r.scaled_value for r in empty.transform(long_rows(spark).limit(2)).collect()] == [None, None]
+    same = model.LabelBounds(labels=["ph"]).fit(spark.createDataFrame([("ph", "4")], "value_label string, value string"))
+    assert [r.scaled_value for r in same.transform(spark.createDataFrame([("ph", "4"), ("new", "4")], "value_label string, value string")).collect()] == [0.0, None]
+
+
+def test_summaries_of_events_and_neighbours(spark):
+    rows = spark.createDataFrame([("a", 1.0, 5.0), ("a", 1.0, 7.0), ("a", 3.0, 9.0), ("b", 2.0, None), ("c", None, 4.0)], "s string, dry double, ph double")
+    found = {r.vertex: r for r in M.event_summaries(rows, F.col("s"), ["dry", "ph"], [("dry", "ph")]).collect()}
+    a = found["a"]
+    assert (a.least_dry, a.greatest_dry, a.least_ph, a.greatest_ph, a.spread_dry) == (1.0, 3.0, 5.0, 9.0, pytest.approx((8 / 9) ** 0.5))
+    assert (a.least_ph_at_least_dry, a.greatest_ph_at_least_dry) == (5.0, 7.0)
+    assert found["b"].greatest_ph_at_least_dry is None and found["c"].greatest_ph_at_least_dry == 4.0
+    edges = spark.createDataFrame([("a", "p"), ("b", "p"), ("x", "p"), ("b", "q")], "src string, dst string")
+    features = spark.createDataFrame([("a", 1.0, 4.0), ("b", 3.0, 2.0)], "vertex string, least_m double, spread_m double")
+    kinds = M.summary_kinds(["least_m", "spread_m"])
+    assert kinds == {"least_m": "min", "spread_m": "avg"}
+    assert sorted(map(tuple, neighbour_summaries(edges, features, kinds).collect())) == [("p", 1.0, 3.0), ("q", 3.0, 2.0)]
+
+
+def test_one_class_is_a_constant(spark):
+    rows = health_rows(spark, 60).withColumn("plant_status", F.lit(0.0))
+    scored = model.score(model.fit(rows, ["x", "y"]), rows, ["x", "y"])
+    assert {(r.probability_healthy, r.predicted_status) for r in scored.collect()} == {(0.0, 0.0)}
