@@ -46,6 +46,39 @@ def built_in_sketch(df: DataFrame, key: str, width: int = WIDTH, depth: int = DE
         F.col(key), F.lit(2.0 / width), F.lit(1.0 - 2.0 ** -depth), F.lit(seed)).alias("sketch"))
 
 
+def _joined_cells(cells: DataFrame, width: int, depth: int) -> DataFrame:
+    """``index`` and ``cell`` of all cells as one binary ``sketch``: big-endian 64-bit numbers, row by row."""
+    every = cells.sparkSession.range(width * depth).select(F.col("id").alias("index"), F.lit(0).cast("long").alias("cell"))
+    summed = cells.select(F.col("index").cast("long"), F.col("cell").cast("long")).union(every).groupBy("index").agg(F.sum("cell").alias("cell"))
+    # width * depth rows, whatever is counted.
+    numbers = F.transform(F.array_sort(F.collect_list(F.struct("index", "cell"))), lambda x: F.lpad(F.hex(x["cell"]), 16, "0"))
+    return summed.agg(F.unhex(F.array_join(numbers, "")).alias("sketch"))
+
+
+def binary_sketch(counts: DataFrame, key: str, count: str = "number", width: int = WIDTH, depth: int = DEPTH) -> DataFrame:
+    """The count-min sketch as one binary value of ``8 * width * depth`` bytes."""
+    cells = count_min_table(counts, key, count, width, depth)
+    return _joined_cells(cells.select((F.col("row") * width + F.col("bucket")).alias("index"), "cell"), width, depth)
+
+
+def merged_sketch(sketches: DataFrame, width: int = WIDTH, depth: int = DEPTH) -> DataFrame:
+    """The sketch of everything that the binary sketches of a table count (column ``sketch``); none give a sketch of zeros."""
+    at = F.explode(F.sequence(F.lit(0), F.lit(width * depth - 1))).alias("index")
+    cells = sketches.filter("sketch is not null").select("sketch", at).select("index", _number(F.col("sketch"), F.col("index")).alias("cell"))
+    return _joined_cells(cells, width, depth)
+
+
+def _number(sketch: Column, index: Column) -> Column:
+    return F.conv(F.hex(F.substring(sketch, (index * 8 + 1).cast("int"), F.lit(8))), 16, 10).cast("bigint")
+
+
+def estimates_from(keys: DataFrame, sketch: DataFrame, key: str, width: int = WIDTH, depth: int = DEPTH) -> DataFrame:
+    """Estimate per distinct key from the bytes of a one-row table, as ``count_min_estimates`` gives it."""
+    whole = keys.select(key).distinct().crossJoin(F.broadcast(sketch.limit(1)))  # one row of a fixed size
+    cells = [_number(F.col("sketch"), row * width + bucket(F.lit(row), F.col(key), width)) for row in range(depth)]
+    return whole.select(key, (F.least(*cells) if depth > 1 else cells[0]).alias("estimate"))
+
+
 def approx_top_k(df: DataFrame, key: str, k: int = TOP_K, tracked: int = 10_000) -> DataFrame:
     """Approximate heavy hitters in bounded memory."""
     return (df.agg(F.expr(f"approx_top_k(`{key}`, {k}, {tracked})").alias("hitters"))

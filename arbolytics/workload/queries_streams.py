@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from arbolytics.operators import sketches
+from arbolytics.operators import sketches, space_saving
 from arbolytics.operators.ranking import count_per, top_k
 from arbolytics.session import fresh_path
 from arbolytics.sinks.messages import document_writer
 from arbolytics.streaming import aggregates as A
+from arbolytics.sources.streams import file_source
 from arbolytics.streaming import heavy_hitters as H
 from arbolytics.streaming import runner as R
 from arbolytics.streaming.parse import parse_readings
@@ -214,3 +215,45 @@ def built_in_sketch(spark, folder):
 
     return sketches.built_in_sketch(B.table(spark, folder, "events"), "user_id").select(
         number(5, 8).alias("n_rows"), number(13, 4).cast("int").alias("depth"), number(17, 4).cast("int").alias("width"))
+
+
+def _readings_in_batches(spark, folder, files: int = 6) -> DataFrame:
+    """All events as readings, in several micro-batches: the events are dealt to files, one is taken at a time."""
+    landing, events = fresh_path(spark, "landing"), B.table(spark, folder, "events")
+    events.repartition(files, "event_id").write.parquet(landing)
+    return parse_readings(B.event_messages(file_source(spark, landing, events.schema, max_files_per_trigger=1)))
+
+
+def _fold(stream: DataFrame, name: str, writer) -> None:
+    R.run_to_end(R.start(stream, name, fresh_path(stream.sparkSession, "checkpoint"), writer, mode="append", available_now=True))
+
+
+BOUNDED = 100
+
+
+@query("stream_bounded_top_k", f"""WITH true_counts AS (SELECT CAST(user_id AS VARCHAR) AS garden_id, count(*) AS number FROM events GROUP BY 1)
+    SELECT garden_id, number, true AS within_bounds, (SELECT least(count(*), {BOUNDED}) FROM true_counts) AS n_tracked,
+           true AS floor_is_bounded FROM true_counts""")
+def stream_bounded_top_k(spark, folder):
+    """Every garden's true count against the bounds of a summary with a fixed number of counters, kept over micro-batches."""
+    state = fresh_path(spark, "summary")
+    _fold(_readings_in_batches(spark, folder), "bounded_hitters", H.bounded_hitters_writer(state, fresh_path(spark, "hitters"), capacity=BOUNDED))
+    summary = H.newest_state(spark, state)
+    events = B.table(spark, folder, "events").select(F.col("user_id").cast("string").alias("garden_id"))
+    true_counts = count_per(events, "garden_id")
+    head = summary.agg(F.count(F.lit(1)).alias("n_tracked"), F.max("floor").alias("floor")).first()  # one row
+    rows = events.count()
+    found = true_counts.join(space_saving.bounds(true_counts.select("garden_id"), summary, "garden_id"), "garden_id")
+    return found.select("garden_id", "number", F.col("number").between(F.col("at_least"), F.col("at_most")).alias("within_bounds"),
+                        F.lit(head.n_tracked).alias("n_tracked"), F.lit(head.floor * (BOUNDED + 1) <= rows).alias("floor_is_bounded"))
+
+
+@query("sketch_merged", """WITH counts AS (SELECT CAST(user_id AS VARCHAR) AS garden_id, count(*) AS number FROM events GROUP BY 1), """
+       + _cells("counts", "garden_id") + """, sketch AS (SELECT "row", bucket, sum(number)::BIGINT AS cell FROM cells GROUP BY ALL)
+    SELECT garden_id, min(cell) AS estimate FROM cells JOIN sketch USING ("row", bucket) GROUP BY garden_id""")
+def sketch_merged(spark, folder):
+    """Binary sketches of micro-batches, merged as state; gardens are looked up in the merged bytes."""
+    state = fresh_path(spark, "sketch-state")
+    _fold(_readings_in_batches(spark, folder), "sketch_state", H.sketch_writer(state))
+    gardens = B.table(spark, folder, "events").select(F.col("user_id").cast("string").alias("garden_id"))
+    return sketches.estimates_from(gardens, H.newest_state(spark, state), "garden_id")

@@ -1,10 +1,11 @@
 import datetime as dt
 import json
+import random
 from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
 
-from arbolytics.operators import sketches
+from arbolytics.operators import sketches, space_saving
 from arbolytics.sinks.messages import document_writer
 from arbolytics.sources.streams import envelope, file_source
 from arbolytics.streaming import aggregates as A
@@ -115,3 +116,72 @@ def test_sketch_against_counts(spark):
 def test_approximate_top_k(spark):
     rows = spark.createDataFrame([(g,) for g, n in {"a": 9, "b": 7, "c": 5, "d": 1}.items() for _ in range(n)], "g string")
     assert {tuple(r) for r in sketches.approx_top_k(rows, "g").collect()} == {("a", 9), ("b", 7), ("c", 5)}
+
+
+def counted(spark, keys):
+    return spark.createDataFrame([(k,) for k in keys], "garden_id string")
+
+
+def test_summaries_keep_their_bounds(spark):
+    """Skewed, even and changing keys, in parts of any size, merged in one go and one after another."""
+    for seed, spread in enumerate((3, 40, 400)):
+        pick = random.Random(seed)
+        parts = [[str(min(int(pick.expovariate(1 / spread)), 99) + shift) for _ in range(pick.randrange(1, 300))] for shift in (0, 0, 30, 0)]
+        true = Counter(k for p in parts for k in p)
+        capacity = 10
+        tables = [space_saving.summary_of(counted(spark, p), "garden_id", capacity).withColumn("part", F.lit(i)) for i, p in enumerate(parts)]
+        whole = tables[0].union(tables[1]).union(tables[2]).union(tables[3])
+        step = tables[0].drop("part")
+        for t in tables[1:]:
+            step = space_saving.merged(t.union(step.withColumn("part", F.lit(-1))), "garden_id", "part", capacity)
+        for summary in (space_saving.merged(whole, "garden_id", "part", capacity), step):
+            rows = summary.collect()
+            assert len(rows) == min(capacity, len(true)) and len({r.floor for r in rows}) == 1
+            floor = rows[0].floor
+            assert floor * (capacity + 1) <= sum(true.values())
+            tracked = {r.garden_id: r for r in rows}
+            for k, n in true.items():
+                assert tracked[k]["count"] - tracked[k].error <= n <= tracked[k]["count"] if k in tracked else n <= floor
+
+
+def test_summaries_of_odd_tables(spark):
+    none = space_saving.summary_of(counted(spark, []), "garden_id", 3)
+    assert none.count() == 0
+    few = space_saving.summary_of(counted(spark, ["a", None, None]), "garden_id", 3)
+    both = space_saving.merged(few.withColumn("p", F.lit(1)).union(none.withColumn("p", F.lit(2))), "garden_id", "p", 3)
+    assert sorted((r.garden_id or "", r["count"], r.error, r.floor) for r in both.collect()) == [("", 2, 0, 0), ("a", 1, 0, 0)]
+    found = {r.garden_id: (r.tracked, r.at_least, r.at_most) for r in space_saving.bounds(counted(spark, ["a", None, "z"]), both, "garden_id").collect()}
+    assert found == {"a": (True, 1, 1), None: (True, 2, 2), "z": (False, 0, 0)}
+    assert {r.at_most for r in space_saving.bounds(counted(spark, ["a"]), none, "garden_id").collect()} == {0}
+
+
+def test_state_is_bounded_and_replays_change_nothing(spark, folder):
+    write = H.bounded_hitters_writer(f"{folder}/state", f"{folder}/docs", k=2, capacity=2)
+    batches = [["a", "a", "b"], ["c", "c", "c", "a"], ["b"], ["c"]]
+    for n, keys in enumerate(batches):
+        write(counted(spark, keys), n)
+        first = sorted(map(tuple, H.newest_state(spark, f"{folder}/state").collect()))
+        write(counted(spark, keys), n)  # after a failure
+        assert sorted(map(tuple, H.newest_state(spark, f"{folder}/state").collect())) == first
+    assert H.batch_folders(spark, f"{folder}/state") == [2, 3]
+    assert [r[0] for r in first] == ["a", "c"] and first[1][1] >= 4
+    docs = [json.loads(r[0]) for r in spark.read.text(f"{folder}/docs/batch_id=3").collect()]
+    assert docs[0]["garden_id"] == "c" and set(docs[0]) == {"garden_id", "count", "error"}
+
+
+def test_binary_sketches_merge(spark, folder):
+    pick = random.Random(1)
+    parts = [[str(pick.randrange(60)) for _ in range(100)] for _ in range(3)]
+    write = H.sketch_writer(f"{folder}/state", width=16, depth=3)
+    for n, keys in enumerate(parts):
+        write(counted(spark, keys), n)
+    got = H.newest_state(spark, f"{folder}/state")
+    assert len(got.first().sketch) == 8 * 16 * 3
+    every = counted(spark, sum(parts, []))
+    counts = every.groupBy("garden_id").agg(F.count(F.lit(1)).alias("number"))
+    wanted = sketches.count_min_estimates(counts, sketches.count_min_table(counts, "garden_id", width=16, depth=3), "garden_id", 16, 3)
+    found = {r.garden_id: r.estimate for r in sketches.estimates_from(every, got, "garden_id", 16, 3).collect()}
+    assert found == {r.garden_id: r.estimate for r in wanted.collect()}
+    assert any(found[k] > n for k, n in Counter(sum(parts, [])).items())
+    none = sketches.merged_sketch(got.limit(0), 16, 3)
+    assert {r.estimate for r in sketches.estimates_from(every, none, "garden_id", 16, 3).collect()} == {0}
