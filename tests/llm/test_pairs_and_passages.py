@@ -193,44 +193,128 @@ def test_lines_of_odd_rows(docs):
         [(1, line, 1, 0), (1, line, 1, 0), (2, None, 0, 0), (3, "", 1, 0), (None, "", 1, 1), (4, "x\n\n x", 3, 0), (5, "", 1, 1)], key=repr)
 
 
-def around(line, less):
-    """What stands around each third of the words, or of one word fewer; for few words also around the halves."""
-    words = line.split(" ")
-    n = len(line) - less
-    halves = {(n, 0, line[:n // 2]), (n, 1, line[n // 2 + less:])} if len(words) <= L.LEAST_WORDS else set()
-    n = len(words) - less
-    if n < L.LEAST_WORDS:
-        return halves
-    sizes = [n // 3 + (n % 3 >= 3 - i) for i in range(3)]
-    starts = [sum(sizes[:i]) for i in range(3)]
-    return halves | {(n, i, tuple(words[:a]), tuple(words[a + size + less:])) for i, (a, size) in enumerate(zip(starts, sizes, strict=True))}
-
-
-def test_lines_with_a_changed_word(docs):
-    pick = random.Random(7)
-    base = [" ".join("".join(pick.choices("abcdé", k=pick.randrange(2, 9))) for _ in range(n)) for n in (5, 9, 14, 22, 40) for _ in range(3)]
+def near_by_brute_force(first, edits_of, least):
+    """Lines with an earlier line within the edits allowed, by all pairs."""
+    order, near = sorted(first, key=first.get), set()
+    for k, b in enumerate(order):
+        for a in order[:k]:
+            most = edits_of(min(len(a), len(b)))
+            if abs(len(a) - len(b)) <= most and all(len(x) >= (edits_of(len(x)) + 1) * least for x in (a, b)) and edits(a, b) <= most:
+                near.add(b)
+                break
+    return near
 
-    def changed(line):
-        ws = line.split(" ")
-        at, kind = pick.randrange(len(ws)), pick.random()
-        ws[at:at + (kind > 0.25)] = [] if kind > 0.75 else ["x" * pick.randrange(1, 9)]
-        return " ".join(ws)
 
-    rows = [(d, "\n".join(changed(pick.choice(base)) if pick.random() < 0.7 else pick.choice(base) for _ in range(5))) for d in range(40)]
-    rows += [(90, base[-1] + "\n" + base[-1].replace(" ", "  ", 1)), (91, "x" * 60 + "\n" + "x" * 58 + "yy")]
+def changing_lines(pick, words_of, families, copies):
+    """Texts with lines that differ from a base line by some words or letters, anywhere in the line."""
+    letters = "abcdefghijklmnopqrstuvwxyzé"
+    word = lambda: "".join(pick.choices(letters, k=pick.randrange(2, 11)))
+    rows = []
+    for _ in range(families):
+        base = [word() for _ in range(words_of())]
+        for _ in range(copies):
+            line = list(base)
+            for _ in range(pick.choice([0, 1, 1, 2, 3, len(base) // 8])):
+                at, kind = pick.randrange(len(line)), pick.random()
+                line[at:at + (kind > 0.15)] = [] if kind > 0.85 else [word()] if kind > 0.3 else [line[at] + "x"] if kind > 0.15 else [word()]
+            rows.append((len(rows), " ".join(line)))
+    pick.shuffle(rows)
+    return [(d, t) for d, (_, t) in enumerate(rows)]
+
+
+def first_places(rows):
     first = {}
     for d, text in rows:
         for i, line in enumerate(text.split("\n")):
-            first.setdefault(line, (d, i))
-    order, near = sorted(first, key=first.get), set()
-    for k, b in enumerate(order):
-        for a in order[:k]:
-            if min(len(a), len(b)) < 2 * L.LEAST_SEGMENT:
-                continue
-            close = around(a, 0) & around(b, 0) or around(a, 1) & around(b, 0) or around(a, 0) & around(b, 1)
-            most = max(1, min(len(a), len(b)) // 20) if close else 1
-            if abs(len(a) - len(b)) <= most and b not in near and edits(a, b) <= most:
-                near.add(b)
+            if line.strip():
+                first.setdefault(line, (d, i))
+    return first
+
+
+def test_short_lines_by_length_are_found_completely(docs):
+    pick = random.Random(11)
+    rows = changing_lines(pick, lambda: pick.randrange(4, 11), 14, 4)
+    for d, t in list(rows):
+        for _ in range(2):
+            line = list(t)
+            for _ in range(pick.randrange(1, 5)):
+                at, kind = pick.randrange(len(line)), pick.random()
+                line[at:at + (kind > 0.3)] = pick.choice(["", "y"]) if kind > 0.3 else "z"
+            rows.append((len(rows), "".join(line)))
+    rows += [(900, "x" * 50 + "\n" + "x" * 48 + "yy"), (901, "x" * 79), (902, "x" * 82)]
+    rows = [(d, t) for d, t in rows if len(t) < 78 or d >= 900]
+    first = first_places(rows)
+    near = near_by_brute_force(first, lambda n: max(1, n // 20), L.LEAST_SEGMENT)
     got = {r.doc_id: r.text for r in L.line_dedup(docs(rows), chars_per_edit=20).collect()}
     assert got == {d: "\n".join(x for i, x in enumerate(t.split("\n")) if first[x] == (d, i) and x not in near) for d, t in rows}
-    assert len(near) > 30 and any(got[d] != r.text for d, r in ((r.doc_id, r) for r in L.line_dedup(docs(rows)).collect()))
+    assert len(near) > 15
+
+
+def test_long_lines_by_length(docs):
+    """No line goes without an earlier one in its edits, and nine in ten that have one go, in families of lines near to one another."""
+    pick = random.Random(12)
+    rows = changing_lines(pick, lambda: pick.randrange(18, 70), 12, 12)
+    first = first_places(rows)
+    near = near_by_brute_force(first, lambda n: max(1, n // 20), L.LEAST_SEGMENT)
+    got = {r.doc_id: r.text for r in L.line_dedup(docs(rows), chars_per_edit=20).collect()}
+    gone = {t for d, t in rows if not got[d] and first[t] == (d, 0)}
+    assert gone <= near and len(near) > 60 and len(gone) >= 0.9 * len(near)
+    assert all(not got[d] for d, t in rows if first[t] != (d, 0))
+
+
+def test_long_lines_without_blanks(docs):
+    pick = random.Random(13)
+    base = ["".join(pick.choices("日本語文字列検索単語文章行長短変更編集距離", k=200)) for _ in range(4)]
+    rows = [(d, base[d % 4][:50 + d] + "新" * (d % 3) + base[d % 4][50 + d + d % 3:]) for d in range(24)]
+    first = first_places(rows)
+    near = near_by_brute_force(first, lambda n: max(1, n // 20), L.LEAST_SEGMENT)
+    got = {r.doc_id: r.text for r in L.line_dedup(docs(rows), chars_per_edit=20).collect()}
+    gone = {t for d, t in rows if not got[d] and first[t] == (d, 0)}
+    assert gone <= near and len(gone) >= 0.9 * len(near) > 0
+
+
+def test_very_many_lines_of_one_list(spark, docs):
+    """Far lines with a common part, and near copies of a line that is not there, make pairs in proportion to the lines."""
+    import duckdb
+
+    pick = random.Random(14)
+    word = lambda: "".join(pick.choices("abcdefghij", k=6))
+    common = " ".join(word() for _ in range(20))
+    rows = [(d, common + " " + " ".join(word() for _ in range(20))) for d in range(200)]
+    base = [word() for _ in range(60)]
+    for d in range(200):
+        line = list(base)
+        for _ in range(pick.randrange(1, 6)):
+            line[pick.randrange(60)] = word()
+        rows.append((1000 + d, " ".join(line)))
+    made = []
+    real = L.verified
+
+    def counting(pairs, *rest):
+        out = L.stage(pairs, "counted")
+        made.append(out.count())
+        return real(out, *rest)
+
+    L.verified = counting
+    try:
+        got = {r.doc_id: r.text for r in L.line_dedup(docs(rows), chars_per_edit=20).collect()}
+    finally:
+        L.verified = real
+    assert sum(made) < 14 * len(rows)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE l (d INT, t VARCHAR)")
+    con.executemany("INSERT INTO l VALUES (?, ?)", rows)
+    near = {d for d, in con.execute("SELECT DISTINCT b.d FROM l a JOIN l b ON a.d < b.d AND "
+                                    "levenshtein(a.t, b.t) <= greatest(1, least(len(a.t), len(b.t)) // 20)").fetchall()}
+    gone = {d for d, t in rows if not got[d]}
+    assert gone <= near and len(gone) >= 0.9 * len(near) > 80
+
+
+def test_columns_of_any_name_pass(docs):
+    line = "a line that is long enough to be compared by segments"
+    df = docs([(1, line, 5, "r", 7, 8, 9), (2, line, 6, "s", 7, 8, 9)], "doc_id long, text string, _doc int, _row string, _dropped int, all int, row int")
+    for cpe in (None, 20):
+        got = L.line_dedup(df, chars_per_edit=cpe)
+        assert got.columns == [*df.columns, "n_lines", "n_removed"]
+        assert sorted(map(tuple, got.collect())) == [(1, line, 5, "r", 7, 8, 9, 1, 0), (2, "", 6, "s", 7, 8, 9, 1, 1)]
+    assert L.line_dedup(docs([(1, "abc"), (2, "abd")]), least_segment=0).filter("n_removed = 1").count() == 1
