@@ -96,7 +96,7 @@ class Lines:
 
 def search(vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, k: int,
            longest: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Query ids, vector ids and scores of the best k of a block for each query; rows with the query's own id are left out."""
+    """Numbers of the queries, vector ids and scores of the best k of a block for each query; rows with the query's own id are left out."""
     lines = Lines(vectors, longest)
     enough = k + 1 + int(VERIFIED * len(ids))
     places = lines.places(queries)
@@ -109,7 +109,7 @@ def search(vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids:
             best = scores >= np.partition(scores, -k)[-k]
             found, scores = found[best], scores[best]
         best = np.lexsort((ids[found], -scores))[:k]
-        out.append((np.full(len(best), q), ids[found[best]], scores[best]))
+        out.append((np.full(len(best), i), ids[found[best]], scores[best]))
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
@@ -123,9 +123,10 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "
     Rows without an id, and null, empty or zero vectors or such with null or non-finite parts take no part.
     A query is not its own neighbour: rows with its id are left out. Rows of different dimension do not
     meet. Ties go to the smaller id; rows that repeat an id stay rows of their own. With fewer candidates
-    than ``k`` all are returned. Extra columns are left out; an empty table gives no rows.
+    than ``k`` all are returned. Each query row has its own result, also if it repeats an id. Extra columns are left out; an empty table gives no rows.
     """
-    rows, asked = usable(vectors, id_col, vector_col), usable(queries, id_col, vector_col)
+    rows = usable(vectors, id_col, vector_col)
+    asked = stage(usable(queries, id_col, vector_col).withColumn("query_row", F.monotonically_increasing_id()), "neighbour-queries")
     width = F.size("vector").alias("dim")
     n = rows.count()
     blocks, chunks = max(LEAST_BLOCKS, -(-n // BLOCK_ROWS)), max(1, -(-asked.count() // QUERY_ROWS))
@@ -134,18 +135,20 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "
     cell = [F.col("dim"), F.col("block"), F.col("chunk")]
     left = rows.select("vec_id", "vector", width, hash_group(F.xxhash64("vec_id", "vector"), blocks).alias("block"),
                        F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"))
-    right = asked.select("vec_id", "vector", width, hash_group(F.xxhash64("vec_id", "vector"), chunks).alias("chunk"),
+    right = asked.select("vec_id", "query_row", "vector", width, hash_group(F.xxhash64("vec_id", "vector"), chunks).alias("chunk"),
                          F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-    schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+    schema = pa.schema([("query_row", pa.int64()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
     def run(found: pa.Table, asking: pa.Table) -> pa.Table:
         if not found.num_rows or not asking.num_rows:
             return schema.empty_table()
-        hits = search(_matrix(found.column("vector")), found.column("vec_id").to_numpy(), _matrix(asking.column("vector")),
-                      asking.column("vec_id").to_numpy(), k, longest)
-        return pa.table(list(hits), schema=schema)
+        asked_ids, asked_rows = (asking.column(c).to_numpy() for c in ("vec_id", "query_row"))
+        at, *hits = search(_matrix(found.column("vector")), found.column("vec_id").to_numpy(), _matrix(asking.column("vector")),
+                           asked_ids, k, longest)
+        return pa.table([asked_rows[at], asked_ids[at], *hits], schema=schema)
 
-    found = stage(left.groupBy(*cell).cogroup(right.groupBy(*cell)).applyInArrow(run, "query_id long, vec_id long, score double"), "neighbours")
+    found = stage(left.groupBy(*cell).cogroup(right.groupBy(*cell)).applyInArrow(
+        run, "query_row long, query_id long, vec_id long, score double"), "neighbours")
     # At most k rows per query and block.
-    place = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    place = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(place)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

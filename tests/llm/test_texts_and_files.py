@@ -285,6 +285,9 @@ def test_nearest_vectors(docs):
 
 
 def test_few_vectors_and_ties(docs):
+    twice = docs([(i, [float(i), 1.0]) for i in range(1, 30)] + [(20, [0.0, 1.0])], "vec_id long, embedding array<double>")
+    got = V.nearest(twice, twice.filter("vec_id = 20"), 20).collect()
+    assert len(got) == 40 and sorted(r.rank for r in got) == sorted([*range(1, 21)] * 2) and {r.query_id for r in got} == {20}
     df = docs([(1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [1.0, 0.0]), (20, [1.0, 1.0]), (3, [1.0, 0.0])], "vec_id long, embedding array<double>")
     got = V.nearest(df, df.filter("vec_id = 20"), 20).orderBy("rank").collect()
     assert [(r.rank, r.vec_id, r.score) for r in got] == [(1, 1, 1.0), (2, 2, 1.0), (3, 3, 1.0), (4, 3, 1.0)]
