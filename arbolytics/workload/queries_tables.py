@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from arbolytics.functions.ids import uuid_id
+from arbolytics.functions.ids import register_id_function, uuid_id
 from arbolytics.functions.scalars import (
-    date_text, folder_date, format_reading_time, map_values, partition_value)
+    date_text, folder_date, format_reading_time, has_suffix, map_values, partition_value, plant_of_pair, species_of_pair)
 from arbolytics.operators import clean, quality
 from arbolytics.operators.ranking import count_per
 from arbolytics.operators.wide import wide_table
@@ -348,3 +348,36 @@ def value_mapping_chain(spark, folder):
     kinds = {"click": "pointer", "view": "page"}
     counted = B.table(spark, folder, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
     return counted.withColumn("kind", map_values(F.col("event_type"), kinds))
+
+
+@query("event_ids_sql", f"""SELECT DISTINCT l_suppkey, l_partkey,
+    {sql.uuid_id('EVENT', 'CAST(l_suppkey AS VARCHAR)', f"'{B.AS_OF}'", 'CAST(l_partkey AS VARCHAR)')} AS event_id
+    FROM lineitem""")
+def event_ids_sql(spark, folder):
+    """The ids by the function that SQL text may call."""
+    register_id_function(spark)
+    pairs = B.table(spark, folder, "lineitem").select("l_suppkey", "l_partkey").distinct()
+    return pairs.withColumn("event_id", F.expr(
+        f"uuid5_id('EVENT', array(CAST(l_suppkey AS STRING), '{B.AS_OF}', CAST(l_partkey AS STRING)))"))
+
+
+@query("plant_pairs_split", "SELECT CAST(p_partkey AS VARCHAR) AS plant_id, substr(p_brand, 7) AS species_id, "
+       "lower(p_brand) LIKE '%1' AS ends_in_one FROM part")
+def plant_pairs_split(spark, folder):
+    """Pairs written as ``plant:species`` and taken apart; a suffix test on both cases."""
+    pairs = B.plants(spark, folder).select(F.concat_ws(":", "plant_id", "species_id").alias("pair"),
+                                           F.concat(F.lit("BRAND#"), "species_id").alias("brand"))
+    return pairs.select(plant_of_pair(F.col("pair")).alias("plant_id"), species_of_pair(F.col("pair")).alias("species_id"),
+                        (has_suffix(F.col("brand"), "1")).alias("ends_in_one"))
+
+
+@query("dated_folder", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate FROM orders "
+       "WHERE date_trunc('month', o_orderdate) = (SELECT max(date_trunc('month', o_orderdate)) FROM orders)")
+def dated_folder(spark, folder):
+    """All orders written to a folder per month, named by its first day; the newest folder read by itself."""
+    root, orders = fresh_path(spark, "dated"), B.table(spark, folder, "orders")
+    kept = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    first_day = date_text(F.trunc("o_orderdate", "month"))
+    tables.write_partitioned(kept.withColumn("day", first_day), root, ["day"])
+    newest = orders.agg(F.max(first_day)).first()[0]
+    return files.read_dated(spark, root, f"day={newest}")
