@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from arbolytics.sources.files import CORRUPT, landed_schema
 from arbolytics.sources.streams import file_source
@@ -45,6 +46,44 @@ def take_new_files(spark: SparkSession, landing: str, table: str, checkpoint: st
         rejects, f"{checkpoint}-rejects", ())
 
 
+def take_in_one_pass(spark: SparkSession, landing: str, table: str, checkpoint: str, schema: T.StructType,
+                     archive: str | None = None, whole_files: bool = False,
+                     max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """As ``take_new_files`` for JSON, with readings and rejected texts from one reading of each file.
+
+    A batch is one folder with a partition for each, written by one job; a batch that is replayed overwrites its folder,
+    so neither output gets rows twice. ``taken`` and ``rejected`` read them. Returns the ended query.
+    """
+    stream = file_source(spark, landing, landed_schema(schema), "json", max_files_per_trigger, archive,
+                         {"multiLine": str(whole_files).lower(), "columnNameOfCorruptRecord": CORRUPT})
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        (batch.withColumn("is_rejected", F.col(CORRUPT).isNotNull()).withColumnRenamed(CORRUPT, "raw_text")
+         .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("is_rejected")
+         .parquet(f"{table}/batch_id={batch_id}"))
+
+    query = (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    return query
+
+
+def _pass_schema(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField("raw_text", T.StringType()), T.StructField("batch_id", T.LongType()),
+                         T.StructField("is_rejected", T.BooleanType())])
+
+
+def taken(spark: SparkSession, table: str, schema: T.StructType) -> DataFrame:
+    """Readings of ``take_in_one_pass``; the folders of rejected texts are not opened."""
+    return spark.read.schema(_pass_schema(schema)).parquet(table).filter(~F.col("is_rejected")).select(*schema.fieldNames())
+
+
+def rejected(spark: SparkSession, table: str, schema: T.StructType) -> DataFrame:
+    """Texts of ``take_in_one_pass`` that are no readings (``raw``) and their batch."""
+    return (spark.read.schema(_pass_schema(schema)).parquet(table).filter("is_rejected")
+            .select(F.col("raw_text").alias("raw"), "batch_id"))
+
+
 def missing_inputs(found: DataFrame, expected: DataFrame, column: str) -> DataFrame:
     """Expected names that were not found."""
     return expected.select(column).join(found.select(column), column, "left_anti")

@@ -7,12 +7,14 @@ from pyspark.sql.window import Window
 
 from arbolytics.operators import sketches, space_saving
 from arbolytics.operators.ranking import count_per, top_k
-from arbolytics.session import fresh_path
-from arbolytics.sinks.messages import document_writer
+from arbolytics.session import fresh_path, stage
+from arbolytics.sinks import published
+from arbolytics.sinks.messages import document_writer, table_writer
 from arbolytics.streaming import aggregates as A
 from arbolytics.sources.streams import file_source
 from arbolytics.streaming import heavy_hitters as H
 from arbolytics.streaming import runner as R
+from arbolytics.streaming import supervision
 from arbolytics.streaming.parse import parse_readings
 from arbolytics.workload import bindings as B
 from arbolytics.workload import sql
@@ -257,3 +259,78 @@ def sketch_merged(spark, folder):
     _fold(_readings_in_batches(spark, folder), "sketch_state", H.sketch_writer(state))
     gardens = B.table(spark, folder, "events").select(F.col("user_id").cast("string").alias("garden_id"))
     return sketches.estimates_from(gardens, H.newest_state(spark, state), "garden_id")
+
+
+WINDOW_KEYS = ["window_start", "window_end"]
+
+
+@query("compacted_updates", f"""WITH {sql.EVENT_READINGS}, w AS ({_windows('', _averages(A.WINDOW_AVERAGES))})
+    SELECT *, true AS few_files FROM w""")
+def compacted_updates(spark, folder):
+    """Averages written batch by batch, compacted twice on the way; the newest rows, and whether one version is one file."""
+    plan = A.window_averages(A.with_lateness(_readings_in_batches(spark, folder), None))
+    out, target = fresh_path(spark, "updates"), 64 << 20
+    R.run_to_end(R.start(plan, "compacted", fresh_path(spark, "checkpoint"),
+                         published.compacting_writer(out, plan.schema, WINDOW_KEYS, every=2, target_bytes=target), available_now=True))
+    found = published.manifest(spark, out)
+    files = len(spark.read.parquet(f"{out}/{found['table']}").inputFiles())
+    size = published.folder_bytes(spark, [f"{out}/{found['table']}"])
+    # Two versions of batches may be in sight: what is compacted, and batches since.
+    few = found["version"] >= 2 and files <= 1 + 4 * size // target and len(H.batch_folders(spark, out)) <= 4
+    return _tidy(published.read_updates(spark, out, plan.schema, WINDOW_KEYS)).withColumn("few_files", F.lit(few))
+
+
+DAY_LATENESS, HALF = "3 days", "min(t) + (max(t) - min(t)) / 2"
+
+
+@query("state_after_resume", f"""WITH {sql.EVENT_READINGS}, half AS (SELECT {HALF} AS cut FROM er),
+    parts AS (SELECT 1 AS run, t FROM er, half WHERE t <= cut UNION ALL SELECT 2, t FROM er),
+    newest AS (SELECT run, max(t) AS t FROM parts GROUP BY run)
+    SELECT parts.run::INTEGER AS run, date_trunc('day', parts.t)::TIMESTAMP AS window_start,
+           date_trunc('day', parts.t)::TIMESTAMP + INTERVAL 1 DAY AS window_end, count(*) AS n
+    FROM parts JOIN newest USING (run) WHERE date_trunc('day', parts.t)::TIMESTAMP + INTERVAL 1 DAY > newest.t - INTERVAL 3 DAY GROUP BY ALL""")
+def state_after_resume(spark, folder):
+    """The windows that are still open after the first half of the events, and after a resumed run over the rest."""
+    events = B.table(spark, folder, "events")
+    landing, out, checkpoint = (fresh_path(spark, n) for n in ("landing", "days", "checkpoint"))
+    second = F.date_trunc("second", "ts").cast("timestamp")
+    first, last = events.select(F.min(second), F.max(second)).first()
+    is_first = second <= F.lit(first + (last - first) / 2)
+    seen = []
+    for run, part in enumerate((events.filter(is_first), events.filter(~is_first)), 1):
+        part.write.mode("append").parquet(landing)
+        stream = B.event_messages(file_source(spark, landing, events.schema))
+        counts = A.windowed(A.with_lateness(parse_readings(stream), DAY_LATENESS), [], {"n": F.count(F.lit(1))}, "1 day", "1 day")
+        R.run_append(counts, "days", out, checkpoint)
+        state = supervision.open_windows(spark, f"{checkpoint}/days")
+        seen.append(stage(state.select(F.lit(run).alias("run"), *WINDOW_KEYS, F.col("count").alias("n")), "state"))
+    return _tidy(seen[0].union(seen[1]))
+
+
+@query("live_feeds", f"""WITH {sql.EVENT_READINGS}, g AS ({_windows(', device_id AS key', 'count(*) AS n')}),
+    s AS ({_windows(', species_id AS key', 'count(*) AS n')})
+    SELECT 'gardens' AS feed, window_start, key, n, 1 AS restarts FROM g UNION ALL SELECT 'species', window_start, key, n, 0 FROM s""")
+def live_feeds(spark, folder):
+    """Counts per garden and per species from two feeds at once; the garden feed fails after half a batch and is started again."""
+    failed = []
+
+    def fails_once(write):
+        def run(batch, batch_id):
+            write(batch if failed else batch.limit(1), batch_id)
+            if not failed:
+                failed.append(batch_id)
+                raise RuntimeError("the first batch fails after a part of its rows")
+        return run
+
+    n = {"n": F.count(F.lit(1))}
+    plans = {"gardens": A.windowed(_readings(spark, folder), ["garden_id"], n), "species": A.windowed(_readings(spark, folder), ["species_id"], n)}
+    outs, checkpoint = {name: fresh_path(spark, name) for name in plans}, fresh_path(spark, "checkpoint")
+    writers = {"gardens": fails_once(table_writer(outs["gardens"])), "species": table_writer(outs["species"])}
+    seen = supervision.supervise({name: (lambda name=name: R.start(plans[name], name, checkpoint, writers[name], available_now=True))
+                                  for name in plans})
+    rows = []
+    for name, key in (("gardens", "garden_id"), ("species", "species_id")):
+        newest = R.latest_updates(spark, outs[name], plans[name].schema, [*WINDOW_KEYS, key])
+        rows.append(newest.select(F.lit(name).alias("feed"), F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                                  F.col(key).alias("key"), "n", F.lit(seen.restarts[name]).alias("restarts")))
+    return rows[0].union(rows[1])

@@ -11,7 +11,7 @@ from arbolytics.operators import clean, quality
 from arbolytics.operators.ranking import count_per
 from arbolytics.operators.wide import wide_table
 from arbolytics.session import fresh_path, stage
-from arbolytics.sinks import messages, tables
+from arbolytics.sinks import messages, published, tables
 from arbolytics.sources import files, forecasts
 from arbolytics.sources.schemas import FORECAST_METRICS
 from arbolytics.streaming.parse import parse_checked
@@ -381,3 +381,63 @@ def dated_folder(spark, folder):
     tables.write_partitioned(kept.withColumn("day", first_day), root, ["day"])
     newest = orders.agg(F.max(first_day)).first()[0]
     return files.read_dated(spark, root, f"day={newest}")
+
+
+# Every fifth user's lines are cut off.
+LINE_START = """substr('{"event_id":' || event_id || ',"user_id":' || user_id || ',', 1, 20)"""
+
+
+@query("intake_two_outputs", f"""SELECT event_id, user_id, event_type, epoch_us(ts) AS micros, value, props, NULL AS raw, true AS read_once
+    FROM events WHERE user_id % 5 <> 0
+    UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, {LINE_START}, true FROM events WHERE user_id % 5 = 0""")
+def intake_two_outputs(spark, folder):
+    """All events landed in two lots and taken in three calls; readings and rejected lines from one reading of each file."""
+    from arbolytics.sources import intake
+
+    events = B.table(spark, folder, "events").withColumn("micros", F.unix_micros(F.col("ts").cast("timestamp"))).select(EVENT_COLUMNS)
+    text = F.to_json(F.struct(*EVENT_COLUMNS))
+    lines = events.select(F.when(F.col("user_id") % 5 == 0, F.substring(text, 1, 20)).otherwise(text).alias("line"), "event_id")
+    landing, table, checkpoint = (fresh_path(spark, n) for n in ("landing", "taken", "intake"))
+    n_read = 0
+    for lot in (lines.filter("event_id % 2 = 0"), None, lines.filter("event_id % 2 <> 0")):
+        if lot is not None:
+            lot.select("line").write.mode("append").text(landing)
+        query = intake.take_in_one_pass(spark, landing, table, checkpoint, events.schema)
+        n_read += sum(p.numInputRows for p in query.recentProgress)
+    good, bad = intake.taken(spark, table, events.schema), intake.rejected(spark, table, events.schema)
+    none = [F.lit(None).cast(f.dataType).alias(f.name) for f in events.schema]
+    return (good.withColumn("raw", F.lit(None).cast("string")).union(bad.select(*none, "raw"))
+            .withColumn("read_once", F.lit(n_read == events.count())))
+
+
+@query("gated_write", """SELECT *, (SELECT count(*) FROM orders) AS n_rows, (SELECT count(o_totalprice) FROM orders) AS n_prices, 3 AS refused
+    FROM orders""")
+def gated_write(spark, folder):
+    """All orders published; an empty table, one without a column and one with nulls after it are refused, and the first stays."""
+    orders, root = B.table(spark, folder, "orders"), fresh_path(spark, "gated")
+
+    def write(df) -> bool:
+        try:
+            published.write_gated(df, root, orders.columns, ["o_orderkey", "o_totalprice"])
+        except published.NotPublished:
+            return False
+        return True
+
+    written = [write(df) for df in (orders, orders.filter("o_orderkey < 0"), orders.drop("o_custkey"),
+                                    orders.withColumn("o_totalprice", F.nullif("o_totalprice", F.lit(0.0)) * F.lit(None)))]
+    counts = published.manifest(spark, root)["counts"]
+    return published.read_published(spark, root, orders.schema).select(
+        "*", F.lit(counts["rows"]).alias("n_rows"), F.lit(counts["o_totalprice"]).alias("n_prices"), F.lit(written.count(False)).alias("refused"))
+
+
+@query("scan_pruned_by_join", """SELECT l_orderkey, l_partkey, l_suppkey, l_quantity, n_name FROM lineitem
+    JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+    WHERE r_name = 'ASIA'""")
+def scan_pruned_by_join(spark, folder):
+    """All readings written by garden; those of one city's gardens read by a join that opens only their folders."""
+    root, sensors = fresh_path(spark, "by-garden"), B.sensors(spark, folder)
+    rows = B.table(spark, folder, "lineitem").join(sensors.select("s_suppkey", "garden_id"), F.col("l_suppkey") == F.col("s_suppkey"))
+    tables.write_partitioned(rows.select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "garden_id"), root, ["garden_id"])
+    gardens = (B.table(spark, folder, "nation").join(B.table(spark, folder, "region").filter("r_name = 'ASIA'"), F.col("n_regionkey") == F.col("r_regionkey"))
+               .select(F.col("n_nationkey").cast("string").alias("garden_id"), "n_name"))
+    return files.partitions_of(files.read_table(spark, root, text_partitions=["garden_id"]), gardens, "garden_id").drop("garden_id")
