@@ -1,13 +1,13 @@
 """Main text of web pages: structure first, then differences to the pages nearest by URL.
 
 A page becomes text lines, one for each block. Lines in menus, headers, footers, sidebars, notices,
-adverts, forms and comments are marked by their elements. If the page names its article
-(``article`` or ``main``), the text is what stands in it. Otherwise templates are found by
-comparing pages: each page is paired with the pages before and after it by URL path on its
-host, the lines of both are aligned by a longest common subsequence, and shared lines go.
+adverts, forms and comments are marked by their elements, and so are lines outside the article of a page that
+names one (``article`` or ``main``). Then all pages are compared: each page is paired with the pages before and
+after it by URL path on its host, the lines of both are aligned by a longest common subsequence, and shared lines go.
 
-Lines inside a named article are not compared: there, sentences repeat on many pages, and
-copies of a page share all of them.
+A named article guards its text: a page that shares over a quarter of the paragraphs is a copy and takes nothing away,
+a line in a paragraph, heading, list, table or quotation goes only if both neighbours share it, and an article never
+loses its last line.
 """
 
 from __future__ import annotations
@@ -29,7 +29,12 @@ RAW = {"script", "style", "noscript", "template", "svg", "iframe", "textarea", "
 SKIPPED = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "select", "button", "head", "noscript"}
 ARTICLE = {"article", "main"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd",
-          "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "nobr"}
+          "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "nobr",
+          "img", "input", "picture", "ruby", "rb", "rt", "rp", "output", "meter", "progress"}
+#: Elements of running text; in an article their lines need two witnesses to go.
+PROSE = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "td", "th", "caption", "figcaption", "blockquote", "pre", "math"}
+#: A neighbour that shares more of an article's text is a copy of it.
+COPY_SHARE = 0.25
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 #: Words in class, id or role that mark a block as no part of the article.
 SKIPPED_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "banner", "breadcrumb", "breadcrumbs", "comment",
@@ -41,6 +46,10 @@ SKIPPED_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising
 TITLED = {"h1", "h2", "h3", "h4", "h5", "h6", "section"}
 COMMENT_WORDS = {"comment", "comments", "reply", "replies"}
 
+#: In an article, other words count only as a whole class name: "search-results" may be a heading's.
+ANYWHERE = COMMENT_WORDS | {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "breadcrumb", "breadcrumbs", "cookie", "cookies",
+                            "navbar", "newsletter", "pagination", "popup", "sidebar", "toolbar"}
+
 LAYOUT = ("has-", "with-", "without-", "no-", "is-")
 
 # A quote left open, or a very long one, does not hide the end of its tag.
@@ -52,23 +61,30 @@ WORDS = re.compile(r"[a-z]+")
 
 def is_skipped(tag: str, attributes: str, within: bool = False) -> bool:
     """Whether an element (``within`` an article) is no part of the article."""
-    if tag in SKIPPED:
+    if tag in SKIPPED and not (within and tag == "header"):
         return True
     if not attributes or tag in ARTICLE or tag in {"body", "html"}:
         return False
     if HIDDEN.search(attributes):
         return True
     for attribute, *groups in MARKS.findall(attributes):
-        marks = COMMENT_WORDS if within and tag in TITLED and attribute.lower() == "id" else SKIPPED_WORDS
+        titled = within and tag in TITLED and attribute.lower() == "id"
+        marks = COMMENT_WORDS if titled else ANYWHERE if within else SKIPPED_WORDS
         for name in "".join(groups).lower().split():
             # "has-sidebar" and the like describe the page around the block.
             if not name.startswith(LAYOUT) and not marks.isdisjoint(WORDS.findall(name)):
                 return True
+            if within and not titled and name in SKIPPED_WORDS and name != "header":
+                return True
     return False
 
 
-def lines_of(page: str) -> tuple[list[str], list[bool], bool]:
-    """Text lines in page order, whether each stands in a skipped element, and whether the page names its article.
+def is_inline(tag: str) -> bool:
+    return tag in INLINE or "-" in tag  # elements of a page's own are inline unless it says otherwise
+
+
+def lines_of(page: str) -> tuple[list[str], list[bool], list[bool], bool]:
+    """Text lines in page order, whether each stands in a skipped element, whether in running text, and whether the page names its article.
 
     With a named article, lines outside it count as skipped. Elements left open end with
     the element around them; a skipped element left open ends with its parent.
@@ -76,6 +92,7 @@ def lines_of(page: str) -> tuple[list[str], list[bool], bool]:
     lines: list[str] = []
     skipped: list[bool] = []
     inside: list[bool] = []
+    prose: list[bool] = []
     stack: list[tuple[str, bool, bool]] = []  # tag, skipped, in an article
     parts: list[str] = []
     off = within = named = False
@@ -87,6 +104,7 @@ def lines_of(page: str) -> tuple[list[str], list[bool], bool]:
             lines.append(text)
             skipped.append(off)
             inside.append(within)
+            prose.append(any(t in PROSE for t, _, _ in stack))
 
     at = 0
     while True:
@@ -100,11 +118,11 @@ def lines_of(page: str) -> tuple[list[str], list[bool], bool]:
             if match[0].startswith("<![CDATA["):
                 parts.append(entities.escape(match[0][9:].removesuffix("]]>")))
             continue
-        if tag not in INLINE:
+        if not is_inline(tag):
             flush()
         if closing:
             if any(t == tag for t, _, _ in stack):
-                if tag in INLINE and is_block_between(stack, tag):
+                if is_inline(tag) and is_block_between(stack, tag):
                     continue
                 flush_inline = stack[-1][1] != off
                 while stack:
@@ -130,7 +148,7 @@ def lines_of(page: str) -> tuple[list[str], list[bool], bool]:
         off, within = now_off, now_within
     flush()
     named = named and any(i and not s for i, s in zip(inside, skipped, strict=True))
-    return lines, [s or (named and not i) for s, i in zip(skipped, inside, strict=True)], named
+    return lines, [s or (named and not i) for s, i in zip(skipped, inside, strict=True)], prose, named
 
 
 def is_block_between(stack: list[tuple[str, bool, bool]], tag: str) -> bool:
@@ -138,7 +156,7 @@ def is_block_between(stack: list[tuple[str, bool, bool]], tag: str) -> bool:
     for t, _, _ in reversed(stack):
         if t == tag:
             return False
-        if t not in INLINE:
+        if not is_inline(t):
             return True
     return False
 
@@ -189,61 +207,79 @@ def line_hashes(lines: list[str]) -> list[int]:
     return [xxhash.xxh64_intdigest(x) - (1 << 63) for x in lines]
 
 
-def main_text(page: str, neighbours: list[list[int]]) -> str:
-    """The main text; ``neighbours`` are line hashes of pages near by URL."""
-    lines, skipped, named = lines_of(page)
+def kept_lines(own: list[int], skipped: list[bool], prose: list[bool], named: bool, neighbours: list[list[int]]) -> list[bool]:
+    """Which lines stay, from the hashes of the page's lines and those of the pages near by URL."""
     keep = [not s for s in skipped]
-    if not named and neighbours:
-        own = line_hashes(lines)
+    if not named:
         for other in neighbours:
             shared = common_lines(own, other)
             if len(shared) < len(own):  # else the page is a copy of a part of the other one
                 for i in shared:
                     keep[i] = False
+        return keep
+    body = {i for i, k in enumerate(keep) if k and prose[i]} or {i for i, k in enumerate(keep) if k}
+    witnesses = [0] * len(own)
+    for other in neighbours:
+        shared = [i for i in common_lines(own, other) if keep[i]]
+        if len(body.intersection(shared)) <= COPY_SHARE * len(body):
+            for i in shared:
+                witnesses[i] += 1
+    left = [k and n < (2 if p else 1) for k, n, p in zip(keep, witnesses, prose, strict=True)]
+    return left if any(left) else keep
+
+
+def main_text(page: str, neighbours: list[list[int]]) -> str:
+    """The main text of one page; ``neighbours`` are line hashes of pages near by URL."""
+    lines, skipped, prose, named = lines_of(page)
+    keep = kept_lines(line_hashes(lines), skipped, prose, named, neighbours)
     return " ".join(x for x, k in zip(lines, keep, strict=True) if k)
 
 
-def row_key(*columns: str):
-    """Two 64-bit hashes: equal rows have equal keys."""
-    return F.struct(F.xxhash64(*columns).alias("a"), F.xxhash64(F.lit(7), *reversed(columns)).alias("b"))
+PARSED = ("page_id long, url string, host string, path string, lines array<string>, hashes array<long>, skipped array<boolean>, "
+          "prose array<boolean>, named boolean")
+
 
+def page_lines(rows: DataFrame) -> DataFrame:
+    """Each page's lines, their hashes and marks. Pages are parsed here and nowhere else."""
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [lines_of(page) for page in texts_of(batch.column("html"))]
+            lines, skipped, prose, named = map(list, zip(*found, strict=True)) if found else ([], [], [], [])
+            yield pa.RecordBatch.from_pydict({
+                **{c: batch.column(c) for c in ("page_id", "url", "host", "path")}, "lines": pa.array(lines, pa.list_(pa.string())),
+                "hashes": pa.array(map(line_hashes, lines), pa.list_(pa.int64())), "skipped": pa.array(skipped, pa.list_(pa.bool_())),
+                "prose": pa.array(prose, pa.list_(pa.bool_())), "named": pa.array(named, pa.bool_())})
 
-def near_pages(rows: DataFrame) -> DataFrame:
-    """key and neighbours (arrays of line hashes) of the pages that do not name their article.
+    return rows.mapInArrow(parse, PARSED)
+
+
+def changed_pages(parsed: DataFrame) -> DataFrame:
+    """host, same and keep (per line) of the distinct pages that lose lines to their neighbours.
 
     Pages with the same lines on a host count once, so a page is not compared with its copies.
     Positions come from a sort over all tasks; a host of any size is no single group.
     """
-    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys, hosts, paths, hashes = [], [], [], []
-            for key, host, path, page in zip(batch.column("key"), batch.column("host").to_pylist(), batch.column("path").to_pylist(),
-                                             texts_of(batch.column("html")), strict=True):
-                lines, _, named = lines_of(page)
-                if lines and not named:
-                    keys.append(key.as_py())
-                    hosts.append(host)
-                    paths.append(path)
-                    hashes.append(line_hashes(lines))
-            yield pa.RecordBatch.from_pydict({"key": pa.array(keys, pa.struct([("a", pa.int64()), ("b", pa.int64())])),
-                                              "host": pa.array(hosts, pa.string()), "path": pa.array(paths, pa.string()),
-                                              "lines": pa.array(hashes, pa.list_(pa.int64()))})
-
-    parsed = stage(rows.select("key", "host", "path", "html").mapInArrow(
-        parse, "key struct<a:long,b:long>, host string, path string, lines array<long>"), "page-lines")
-    template = F.xxhash64("host", "lines").alias("same")
-    distinct = parsed.groupBy("host", template).agg(F.min(F.struct("path", "lines")).alias("p")).select(
-        "host", "same", "p.path", "p.lines")
+    marks = ["hashes", "skipped", "prose", "named"]
+    distinct = (parsed.filter(F.size("hashes") > 0).groupBy("host", "same").agg(F.min(F.struct("path", *marks)).alias("p"))
+                .select("host", "same", "p.path", *[f"p.{c}" for c in marks]))
     placed = stage(number_rows(distinct, [F.col("host"), F.col("path"), F.col("same")], "place"), "page-order")
-    before = placed.select((F.col("place") + 1).alias("place"), F.col("host").alias("host_b"), F.col("lines").alias("lines_b"))
-    after = placed.select((F.col("place") - 1).alias("place"), F.col("host").alias("host_a"), F.col("lines").alias("lines_a"))
-    joined = placed.select("host", "same", "place").join(before, "place", "left").join(after, "place", "left")
+    before, after = (placed.select((F.col("place") + step).alias("place"), F.col("host").alias(f"host{step}"), F.col("hashes").alias(f"lines{step}"))
+                     for step in (1, -1))
     none = F.array().cast("array<array<long>>")
-    near = joined.select("host", "same", F.concat(
-        F.when(F.col("host").eqNullSafe(F.col("host_b")) & F.col("lines_b").isNotNull(), F.array("lines_b")).otherwise(none),
-        F.when(F.col("host").eqNullSafe(F.col("host_a")) & F.col("lines_a").isNotNull(), F.array("lines_a")).otherwise(none)).alias("neighbours"))
-    keys = parsed.select("key", "host", template).distinct()
-    return keys.join(near, keys["host"].eqNullSafe(near["host"]) & (keys["same"] == near["same"])).select("key", "neighbours")
+    near = F.concat(*[F.when(F.col("host").eqNullSafe(F.col(f"`host{step}`")) & F.col(f"`lines{step}`").isNotNull(),
+                             F.array(F.col(f"`lines{step}`"))).otherwise(none) for step in (1, -1)])
+    joined = placed.join(before, "place", "left").join(after, "place", "left").select("host", "same", *marks, near.alias("neighbours"))
+
+    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for row in batch.to_pylist():
+                keep = kept_lines(row["hashes"], row["skipped"], row["prose"], row["named"], row["neighbours"])
+                if any(k == s for k, s in zip(keep, row["skipped"], strict=True)):
+                    out.append({"host": row["host"], "same": row["same"], "keep": keep})
+            yield pa.RecordBatch.from_pylist(out, pa.schema([("host", pa.string()), ("same", pa.int64()), ("keep", pa.list_(pa.bool_()))]))
+
+    return joined.filter(F.size("neighbours") > 0).mapInArrow(decide, "host string, same long, keep array<boolean>")
 
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -256,17 +292,11 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     rows = bare(pages, page_id=id_col, url=url_col, html=html_col).select(
         F.col("page_id").cast("long"), F.col("url").cast("string"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     rows = rows.select(
-        "*", row_key("page_id", "url", "html").alias("key"),
+        "page_id", "url", "html",
         F.lower(F.regexp_extract("url", r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)", 1)).alias("host"),
         F.regexp_extract("url", r"^(?:(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//[^/?#]*)?([^?#]*)", 1).alias("path"))
-    near = stage(near_pages(rows), "page-neighbours")
-
-    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [main_text(page, near or []) for page, near in zip(texts_of(batch.column("html")),
-                                                                       batch.column("neighbours").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_pydict({"page_id": batch.column("page_id"), "url": batch.column("url"),
-                                              "text": pa.array(texts, pa.string()), "n_chars": pa.array(map(len, texts), pa.int64())})
-
-    return (rows.join(near, "key", "left").select("page_id", "url", "html", "neighbours")
-            .mapInArrow(extract, "page_id long, url string, text string, n_chars long"))
+    parsed = stage(page_lines(rows), "page-lines").withColumn("same", F.xxhash64("host", "hashes", "skipped", "prose", "named"))
+    changed = stage(changed_pages(parsed), "page-changes").withColumnsRenamed({"host": "host_c", "same": "same_c"})
+    found = parsed.join(changed, F.col("host").eqNullSafe(F.col("host_c")) & (F.col("same") == F.col("same_c")), "left")
+    text = F.array_join(F.filter("lines", lambda x, i: F.coalesce(F.get("keep", i), ~F.get("skipped", i))), " ")
+    return found.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))

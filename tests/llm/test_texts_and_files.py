@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import random
+import re
 import struct
 import zlib
 
@@ -300,3 +301,68 @@ def test_broken_markup():
     assert H.main_text("<ul><li>x<li>y</ul><script>if (a < b) {}</script>z<style>p{}", []) == "x y z"
     assert H.main_text("<<p>>1 < 2 &amp;amp; &#x41;&bogus;</div></p></span>", []).endswith("1 < 2 &amp; A&bogus;")
     assert H.main_text("<a '" * 20_000 + "<p>end", []).endswith("end")
+
+
+def test_plain_boilerplate_of_an_article_goes(docs):
+    """Unmarked template lines inside the article; copies and shared sentences stay."""
+    def page(i, extra=""):
+        return (f"<body><div>Shop</div><article><header><h1>Title {i}</h1></header><p>First {i}</p><div>Tell your friends</div><p>Second {i}</p>"
+                f"<p>Third {i}</p><p>On every page</p>{extra}<p class='social-policy'>Fourth {i}</p>"
+                f"<ul><li>Fifth {i}<li>Sixth {i}</ul></article></body>")
+
+    rows = [(i, f"http://h.org/{i:02d}", page(i, "<p>One sentence of two pages</p>" if i in (3, 4) else "")) for i in range(8)]
+    copies = [(20 + i, f"http://c.org/{i}", page(1, f"<p>copy {i}</p>")) for i in range(3)]
+    got = {r.page_id: r.text for r in H.extract_text(docs(rows + copies, "page_id long, url string, html string")).collect()}
+    for i in range(8):
+        # The first and the last page have one neighbour, which does not take away a paragraph.
+        every = " On every page" if i in (0, 7) else ""
+        two = " One sentence of two pages" if i in (3, 4) else ""
+        assert got[i] == f"Title {i} First {i} Second {i} Third {i}{every}{two} Fourth {i} Fifth {i} Sixth {i}"
+    for i in range(3):
+        assert got[20 + i] == f"Title 1 First 1 Tell your friends Second 1 Third 1 On every page copy {i} Fourth 1 Fifth 1 Sixth 1"
+
+
+def test_article_with_template_lines_only_is_not_emptied(docs):
+    rows = [(i, f"http://h.org/{i}", f"<nav>{i}</nav><main><div>Soon</div></main>") for i in range(4)]
+    assert {r.text for r in H.extract_text(docs(rows, "page_id long, url string, html string")).collect()} == {"Soon"}
+
+
+def test_inline_elements_and_class_words_of_an_article():
+    page = ("<article><p>a<img>b<x-note>c</x-note></p><div class='search-results'>found</div><div class='share'>tell</div>"
+            "<div class='ad-slot'>buy</div><ul class='comment-list'><li>first</ul></article>")
+    assert H.main_text(page, []) == "abc found"
+
+
+def test_differences_by_brute_force(spark):
+    """Pairing and deletion of all given small pages, without Spark and without hashes."""
+    def common(a, b):
+        best = [[()] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                best[i + 1][j + 1] = (*best[i][j], i) if x == y else max(best[i][j + 1], best[i + 1][j], key=len)
+        return set(best[-1][-1])
+
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    parsed, hosts = {}, {}
+    for r in pages.collect():
+        parsed[r.page_id] = H.lines_of(r.html or "")
+        host, path = re.match(r"(?:[a-z]+:)?//([^/?#]*)([^?#]*)", r.url).groups()
+        if parsed[r.page_id][0]:
+            key = tuple(parsed[r.page_id][0]), tuple(parsed[r.page_id][1])
+            hosts.setdefault(host.lower(), {}).setdefault(key, []).append((path, r.page_id))
+    wanted = {k: " ".join(x for x, s in zip(v[0], v[1], strict=True) if not s) for k, v in parsed.items()}
+    changed = set()
+    for group in hosts.values():
+        order = sorted(min(v) for v in group.values())
+        for at, (_, page_id) in enumerate(order):
+            lines, skipped, prose, named = parsed[page_id]
+            assert named
+            kept = [i for i, s in enumerate(skipped) if not s]
+            body = [i for i in kept if prose[i]] or kept
+            seen = [common(lines, parsed[order[o][1]][0]) for o in (at - 1, at + 1) if 0 <= o < len(order)]
+            seen = [x for x in seen if 4 * len(x.intersection(body)) <= len(body)]
+            left = [i for i in kept if sum(i in x for x in seen) < (2 if prose[i] else 1)] or kept
+            for _, other in next(v for v in group.values() if page_id in [p for _, p in v]):
+                changed |= {other} if left != kept else set()
+                wanted[other] = " ".join(parsed[other][0][i] for i in left)
+    assert {r.page_id: r.text for r in H.extract_text(pages).collect()} == wanted
