@@ -5,9 +5,9 @@ adverts, forms and comments are marked by their elements, and so are lines outsi
 names one (``article`` or ``main``). Then all pages are compared: each page is paired with the pages before and
 after it by URL path on its host, the lines of both are aligned by a longest common subsequence, and shared lines go.
 
-A named article guards its text: a page that shares over a quarter of the paragraphs is a copy and takes nothing away,
-a line in a paragraph, heading, list, table or quotation goes only if both neighbours share it, and an article never
-loses its last line.
+A named article guards its text: its paragraphs, headings and quotations stay, since sentences repeat on many pages;
+lines of lists and tables go only if both neighbours share them, all others if one does. A page that shares over a quarter
+of the guarded lines is a copy and takes nothing away, and an article never loses its last line.
 """
 
 from __future__ import annotations
@@ -31,8 +31,9 @@ ARTICLE = {"article", "main"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd",
           "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "nobr",
           "img", "input", "picture", "ruby", "rb", "rt", "rp", "output", "meter", "progress"}
-#: Elements of running text; in an article their lines need two witnesses to go.
-PROSE = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "td", "th", "caption", "figcaption", "blockquote", "pre", "math"}
+#: How many neighbours must share a line of an article for it to go, by the elements it is in; there are two at most.
+WITNESSES = {**dict.fromkeys(("li", "dt", "dd", "td", "th"), 2),
+             **dict.fromkeys(("p", "h1", "h2", "h3", "h4", "h5", "h6", "caption", "figcaption", "blockquote", "pre", "math"), 3)}
 #: A neighbour that shares more of an article's text is a copy of it.
 COPY_SHARE = 0.25
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -83,8 +84,8 @@ def is_inline(tag: str) -> bool:
     return tag in INLINE or "-" in tag  # elements of a page's own are inline unless it says otherwise
 
 
-def lines_of(page: str) -> tuple[list[str], list[bool], list[bool], bool]:
-    """Text lines in page order, whether each stands in a skipped element, whether in running text, and whether the page names its article.
+def lines_of(page: str) -> tuple[list[str], list[bool], list[int], bool]:
+    """Text lines in page order, whether each stands in a skipped element, its ``WITNESSES``, and whether the page names its article.
 
     With a named article, lines outside it count as skipped. Elements left open end with
     the element around them; a skipped element left open ends with its parent.
@@ -92,7 +93,7 @@ def lines_of(page: str) -> tuple[list[str], list[bool], list[bool], bool]:
     lines: list[str] = []
     skipped: list[bool] = []
     inside: list[bool] = []
-    prose: list[bool] = []
+    needs: list[int] = []
     stack: list[tuple[str, bool, bool]] = []  # tag, skipped, in an article
     parts: list[str] = []
     off = within = named = False
@@ -104,7 +105,7 @@ def lines_of(page: str) -> tuple[list[str], list[bool], list[bool], bool]:
             lines.append(text)
             skipped.append(off)
             inside.append(within)
-            prose.append(any(t in PROSE for t, _, _ in stack))
+            needs.append(max((WITNESSES.get(t, 1) for t, _, _ in stack), default=1))
 
     at = 0
     while True:
@@ -148,7 +149,7 @@ def lines_of(page: str) -> tuple[list[str], list[bool], list[bool], bool]:
         off, within = now_off, now_within
     flush()
     named = named and any(i and not s for i, s in zip(inside, skipped, strict=True))
-    return lines, [s or (named and not i) for s, i in zip(skipped, inside, strict=True)], prose, named
+    return lines, [s or (named and not i) for s, i in zip(skipped, inside, strict=True)], needs, named
 
 
 def is_block_between(stack: list[tuple[str, bool, bool]], tag: str) -> bool:
@@ -207,7 +208,7 @@ def line_hashes(lines: list[str]) -> list[int]:
     return [xxhash.xxh64_intdigest(x) - (1 << 63) for x in lines]
 
 
-def kept_lines(own: list[int], skipped: list[bool], prose: list[bool], named: bool, neighbours: list[list[int]]) -> list[bool]:
+def kept_lines(own: list[int], skipped: list[bool], needs: list[int], named: bool, neighbours: list[list[int]]) -> list[bool]:
     """Which lines stay, from the hashes of the page's lines and those of the pages near by URL."""
     keep = [not s for s in skipped]
     if not named:
@@ -217,26 +218,26 @@ def kept_lines(own: list[int], skipped: list[bool], prose: list[bool], named: bo
                 for i in shared:
                     keep[i] = False
         return keep
-    body = {i for i, k in enumerate(keep) if k and prose[i]} or {i for i, k in enumerate(keep) if k}
+    body = {i for i, k in enumerate(keep) if k and needs[i] > 1} or {i for i, k in enumerate(keep) if k}
     witnesses = [0] * len(own)
     for other in neighbours:
         shared = [i for i in common_lines(own, other) if keep[i]]
         if len(body.intersection(shared)) <= COPY_SHARE * len(body):
             for i in shared:
                 witnesses[i] += 1
-    left = [k and n < (2 if p else 1) for k, n, p in zip(keep, witnesses, prose, strict=True)]
+    left = [k and n < need for k, n, need in zip(keep, witnesses, needs, strict=True)]
     return left if any(left) else keep
 
 
 def main_text(page: str, neighbours: list[list[int]]) -> str:
     """The main text of one page; ``neighbours`` are line hashes of pages near by URL."""
-    lines, skipped, prose, named = lines_of(page)
-    keep = kept_lines(line_hashes(lines), skipped, prose, named, neighbours)
+    lines, skipped, needs, named = lines_of(page)
+    keep = kept_lines(line_hashes(lines), skipped, needs, named, neighbours)
     return " ".join(x for x, k in zip(lines, keep, strict=True) if k)
 
 
 PARSED = ("page_id long, url string, host string, path string, lines array<string>, hashes array<long>, skipped array<boolean>, "
-          "prose array<boolean>, named boolean")
+          "needs array<tinyint>, named boolean")
 
 
 def page_lines(rows: DataFrame) -> DataFrame:
@@ -244,11 +245,11 @@ def page_lines(rows: DataFrame) -> DataFrame:
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [lines_of(page) for page in texts_of(batch.column("html"))]
-            lines, skipped, prose, named = map(list, zip(*found, strict=True)) if found else ([], [], [], [])
+            lines, skipped, needs, named = map(list, zip(*found, strict=True)) if found else ([], [], [], [])
             yield pa.RecordBatch.from_pydict({
                 **{c: batch.column(c) for c in ("page_id", "url", "host", "path")}, "lines": pa.array(lines, pa.list_(pa.string())),
                 "hashes": pa.array(map(line_hashes, lines), pa.list_(pa.int64())), "skipped": pa.array(skipped, pa.list_(pa.bool_())),
-                "prose": pa.array(prose, pa.list_(pa.bool_())), "named": pa.array(named, pa.bool_())})
+                "needs": pa.array(needs, pa.list_(pa.int8())), "named": pa.array(named, pa.bool_())})
 
     return rows.mapInArrow(parse, PARSED)
 
@@ -259,7 +260,7 @@ def changed_pages(parsed: DataFrame) -> DataFrame:
     Pages with the same lines on a host count once, so a page is not compared with its copies.
     Positions come from a sort over all tasks; a host of any size is no single group.
     """
-    marks = ["hashes", "skipped", "prose", "named"]
+    marks = ["hashes", "skipped", "needs", "named"]
     distinct = (parsed.filter(F.size("hashes") > 0).groupBy("host", "same").agg(F.min(F.struct("path", *marks)).alias("p"))
                 .select("host", "same", "p.path", *[f"p.{c}" for c in marks]))
     placed = stage(number_rows(distinct, [F.col("host"), F.col("path"), F.col("same")], "place"), "page-order")
@@ -274,7 +275,7 @@ def changed_pages(parsed: DataFrame) -> DataFrame:
         for batch in batches:
             out = []
             for row in batch.to_pylist():
-                keep = kept_lines(row["hashes"], row["skipped"], row["prose"], row["named"], row["neighbours"])
+                keep = kept_lines(row["hashes"], row["skipped"], row["needs"], row["named"], row["neighbours"])
                 if any(k == s for k, s in zip(keep, row["skipped"], strict=True)):
                     out.append({"host": row["host"], "same": row["same"], "keep": keep})
             yield pa.RecordBatch.from_pylist(out, pa.schema([("host", pa.string()), ("same", pa.int64()), ("keep", pa.list_(pa.bool_()))]))
@@ -295,7 +296,7 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
         "page_id", "url", "html",
         F.lower(F.regexp_extract("url", r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)", 1)).alias("host"),
         F.regexp_extract("url", r"^(?:(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//[^/?#]*)?([^?#]*)", 1).alias("path"))
-    parsed = stage(page_lines(rows), "page-lines").withColumn("same", F.xxhash64("host", "hashes", "skipped", "prose", "named"))
+    parsed = stage(page_lines(rows), "page-lines").withColumn("same", F.xxhash64("host", "hashes", "skipped", "needs", "named"))
     changed = stage(changed_pages(parsed), "page-changes").withColumnsRenamed({"host": "host_c", "same": "same_c"})
     found = parsed.join(changed, F.col("host").eqNullSafe(F.col("host_c")) & (F.col("same") == F.col("same_c")), "left")
     text = F.array_join(F.filter("lines", lambda x, i: F.coalesce(F.get("keep", i), ~F.get("skipped", i))), " ")

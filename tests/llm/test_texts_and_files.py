@@ -307,19 +307,19 @@ def test_plain_boilerplate_of_an_article_goes(docs):
     """Unmarked template lines inside the article; copies and shared sentences stay."""
     def page(i, extra=""):
         return (f"<body><div>Shop</div><article><header><h1>Title {i}</h1></header><p>First {i}</p><div>Tell your friends</div><p>Second {i}</p>"
-                f"<p>Third {i}</p><p>On every page</p>{extra}<p class='social-policy'>Fourth {i}</p>"
-                f"<ul><li>Fifth {i}<li>Sixth {i}</ul></article></body>")
+                f"<p>Third {i}</p><p>On every page</p>{extra}<ul><li>Elsewhere</ul><p class='social-policy'>Fourth {i}</p>"
+                f"<ul><li>Fifth {i}<li>Sixth {i}<li>Seventh {i}<li>Eighth {i}<li>Ninth {i}</ul></article></body>")
 
     rows = [(i, f"http://h.org/{i:02d}", page(i, "<p>One sentence of two pages</p>" if i in (3, 4) else "")) for i in range(8)]
     copies = [(20 + i, f"http://c.org/{i}", page(1, f"<p>copy {i}</p>")) for i in range(3)]
     got = {r.page_id: r.text for r in H.extract_text(docs(rows + copies, "page_id long, url string, html string")).collect()}
     for i in range(8):
-        # The first and the last page have one neighbour, which does not take away a paragraph.
-        every = " On every page" if i in (0, 7) else ""
+        # The first and the last page have one neighbour, which does not take away a list.
+        every = " Elsewhere" if i in (0, 7) else ""
         two = " One sentence of two pages" if i in (3, 4) else ""
-        assert got[i] == f"Title {i} First {i} Second {i} Third {i}{every}{two} Fourth {i} Fifth {i} Sixth {i}"
+        assert got[i] == f"Title {i} First {i} Second {i} Third {i} On every page{two}{every} Fourth {i} Fifth {i} Sixth {i} Seventh {i} Eighth {i} Ninth {i}"
     for i in range(3):
-        assert got[20 + i] == f"Title 1 First 1 Tell your friends Second 1 Third 1 On every page copy {i} Fourth 1 Fifth 1 Sixth 1"
+        assert got[20 + i] == f"Title 1 First 1 Tell your friends Second 1 Third 1 On every page copy {i} Elsewhere Fourth 1 Fifth 1 Sixth 1 Seventh 1 Eighth 1 Ninth 1"
 
 
 def test_article_with_template_lines_only_is_not_emptied(docs):
@@ -355,13 +355,13 @@ def test_differences_by_brute_force(spark):
     for group in hosts.values():
         order = sorted(min(v) for v in group.values())
         for at, (_, page_id) in enumerate(order):
-            lines, skipped, prose, named = parsed[page_id]
+            lines, skipped, needs, named = parsed[page_id]
             assert named
             kept = [i for i, s in enumerate(skipped) if not s]
-            body = [i for i in kept if prose[i]] or kept
+            body = [i for i in kept if needs[i] > 1] or kept
             seen = [common(lines, parsed[order[o][1]][0]) for o in (at - 1, at + 1) if 0 <= o < len(order)]
             seen = [x for x in seen if 4 * len(x.intersection(body)) <= len(body)]
-            left = [i for i in kept if sum(i in x for x in seen) < (2 if prose[i] else 1)] or kept
+            left = [i for i in kept if sum(i in x for x in seen) < needs[i]] or kept
             for _, other in next(v for v in group.values() if page_id in [p for _, p in v]):
                 changed |= {other} if left != kept else set()
                 wanted[other] = " ".join(parsed[other][0][i] for i in left)
