@@ -143,7 +143,7 @@ def encoder(tokenizer_file: str) -> ChunkEncoder:
                         leading_blank=False, widths=widths, written=str.lower, most_known=1_000_000, slice_chars=4_000_000)
 
 
-MANIFEST = "part int, file string, n_docs long, n_ids long, doc_ids binary"
+MANIFEST = "part int, file string, n_docs long, n_ids long, least_id long, greatest_id long, doc_ids binary"
 
 
 def write_token_files(df: DataFrame, folder: str, tokenizer_file: str, end_id: int,
@@ -155,8 +155,8 @@ def write_token_files(df: DataFrame, folder: str, tokenizer_file: str, end_id: i
     its document holds the end id alone. Rows that repeat an id are all written, ordered by
     text; a null id sorts first. Extra columns are left out. An empty table writes nothing.
 
-    The manifest has a row per file in id order: part, file, number of documents and ids,
-    and the document ids (packed, with a leading null mask).
+    The manifest has a row per file in id order: part, file, number of documents and ids, least and greatest
+    document id (null if all are), and the document ids (packed, with a leading null mask).
     """
     spark = df.sparkSession
     rows = bare(df, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
@@ -185,10 +185,13 @@ def write_token_files(df: DataFrame, folder: str, tokenizer_file: str, end_id: i
             writer.close()
             out.close()
             nulls = np.array([x is None for x in ids], np.uint8).tobytes()
+            known = [x for x in ids if x is not None]
             packed = zstandard.compress(nulls + np.array([x or 0 for x in ids], "<i8").tobytes())
             yield pa.RecordBatch.from_pydict({
                 "part": pa.array([TaskContext.get().partitionId()], pa.int32()), "file": [f"{folder}/{name}"],
-                "n_docs": [len(ids)], "n_ids": [sum(writer.counts)], "doc_ids": pa.array([packed], pa.binary())})
+                "n_docs": [len(ids)], "n_ids": [sum(writer.counts)],
+                "least_id": pa.array([min(known, default=None)], pa.int64()), "greatest_id": pa.array([max(known, default=None)], pa.int64()),
+                "doc_ids": pa.array([packed], pa.binary())})
 
     return stage(ordered.mapInArrow(write, MANIFEST), "token-manifest")
 
@@ -228,22 +231,37 @@ def read_token_files(manifest: DataFrame, with_ids: bool = True) -> DataFrame:
                         yield pa.RecordBatch.from_pydict(out)
 
     schema = READ if with_ids else READ.replace("ids array<long>", "ids_crc32 long")
-    return files.repartition("part").mapInArrow(read, schema)
+    # A task per file: a number that is given is not merged.
+    return files.repartitionByRange(max(manifest.count(), 1), "part").mapInArrow(read, schema)
 
 
 def read_documents(spark: SparkSession, manifest: DataFrame, doc_ids: list[int]) -> dict[int, list[int]]:
-    """The ids of a few documents; only their frames are read."""
-    wanted = set(doc_ids)
-    found: dict[int, list[int]] = {}
-    for row in manifest.collect():
-        raw = zstandard.decompress(row["doc_ids"])
-        ids = np.frombuffer(raw, "<i8", row["n_docs"], row["n_docs"])
-        at = [i for i, x in enumerate(ids) if int(x) in wanted]
-        if at:
-            fs, path = pafs.FileSystem.from_uri(row["file"])
-            with fs.open_input_file(path) as source:
-                found |= {int(ids[i]): x.tolist() for i, x in FileReader(source).documents(at)}
-    return found
+    """The ids of a few documents; only the files that may hold one are opened, in tasks, and only their frames are read.
+
+    The result is as large as the caller's list asks for. Of rows that repeat an id the last counts; unknown ids are left out.
+    """
+    wanted = sorted(set(doc_ids))
+    if not wanted:
+        return {}
+    may_hold = F.exists(F.array(*[F.lit(x).cast("long") for x in wanted]), lambda x: x.between(F.col("least_id"), F.col("greatest_id")))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                raw = zstandard.decompress(row["doc_ids"])
+                nulls, ids = np.frombuffer(raw, np.uint8, row["n_docs"]), np.frombuffer(raw, "<i8", row["n_docs"], row["n_docs"])
+                at = np.flatnonzero(np.isin(ids, wanted) & (nulls == 0)).tolist()
+                if at:
+                    fs, path = pafs.FileSystem.from_uri(row["file"])
+                    with fs.open_input_file(path) as source:
+                        found = [(int(ids[i]), row["part"], i, x.tolist()) for i, x in FileReader(source).documents(at)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found, strict=True), (
+                        pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64())), strict=True)], ["doc_id", "part", "place", "ids"])
+
+    files = manifest.filter(may_hold)
+    rows = files.repartitionByRange(max(min(files.count(), len(wanted)), 1), "part").mapInArrow(
+        read, "doc_id long, part int, place long, ids array<long>").collect()
+    return {r.doc_id: r.ids for r in sorted(rows, key=lambda r: (r.part, r.place))}
 
 
 def token_folder(spark: SparkSession) -> str:

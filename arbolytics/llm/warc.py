@@ -21,7 +21,7 @@ import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from arbolytics.llm.common import bare
+from arbolytics.llm.common import bare, pieces
 from arbolytics.session import stage
 
 # Fixed value: the profile of revisit records in the public WARC standard.
@@ -140,8 +140,17 @@ def parse_record(raw: bytes) -> dict:
 RECORDS = ("page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary")
 
 
-def read_records(index: DataFrame, with_payload: bool = True) -> DataFrame:
-    """The records of the given index rows; filter the index to read only some of them."""
+# Compressed bytes that one reading task takes.
+TASK_BYTES = 8 << 20
+
+
+def read_records(index: DataFrame, with_payload: bool = True, task_bytes: int = TASK_BYTES) -> DataFrame:
+    """The records of the given index rows; filter the index to read only some of them.
+
+    Tasks take neighbouring ranges of some ``task_bytes`` by the lengths in the index, so a large file is read by several.
+    """
+    n = pieces(index.agg(F.sum("length")).first()[0] or 0, task_bytes)
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch.to_pylist()
@@ -164,5 +173,5 @@ def read_records(index: DataFrame, with_payload: bool = True) -> DataFrame:
 
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()),
                         ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("payload", pa.binary())])
-    return (index.select("file", "offset", "length").repartition("file").sortWithinPartitions("file", "offset")
+    return (index.select("file", "offset", "length").repartitionByRange(n, "file", "offset").sortWithinPartitions("file", "offset")
             .mapInArrow(read, RECORDS))

@@ -14,6 +14,7 @@ import tiktoken
 import xxhash
 import zstandard
 from tokenizers import Tokenizer
+from pyspark.sql import functions as F
 
 from arbolytics.llm import byte_bpe as B, decontaminate as D, html_text as H, language_id as I, neighbours as V, token_files as T, warc as W
 
@@ -64,6 +65,10 @@ def test_token_files(docs, spark, tmp_path):
     sums = {(r.doc_id, r.ids_crc32) for r in T.read_token_files(manifest, with_ids=False).collect()}
     assert sums == {(d, zlib.crc32(np.array(ids(t), "<u4").tobytes())) for d, t, _ in rows}
     assert T.read_documents(spark, manifest, [200, 7]) == {200: ids("twice"), 7: [2]}
+    assert T.read_documents(spark, manifest, [10_000, -1]) == T.read_documents(spark, manifest, []) == {}
+    assert T.read_documents(spark, manifest, [0, 3]) == {0: ids(ODD[0]), 3: ids(ODD[1])}  # the row without an id is not 0
+    opened = manifest.filter("200 BETWEEN least_id AND greatest_id").count()
+    assert 0 < opened < manifest.count() == T.read_token_files(manifest).select(F.spark_partition_id()).distinct().count()
     assert T.read_token_files(T.write_token_files(docs([]), str(tmp_path / "e"), WORDS, 2)).count() == 0
 
     path = manifest.first().file
@@ -153,6 +158,7 @@ def test_archives(docs, tmp_path):
         + [(6, 5, short, "response", None), (7, 5, short, "response", None), (8, 0, none, "response", None), (9, 0, none, "response", None)], key=repr)
     assert {r.url for r in got} == {"http://a/%0A1", "http://a/5", None, "n", "s", "s2", "e"}
     assert all((r.payload is None) == (r.record_type == "revisit") for r in got)
+    assert W.read_records(index, task_bytes=200).select(F.spark_partition_id()).distinct().count() > 4  # one file in several tasks
     some = W.read_records(index.filter("page_id = 6")).collect()
     assert [bytes(r.payload) for r in some] == [b"short"]
     assert W.read_records(W.write_archives(W.classify(docs([], "page_id long, url string, html string")), str(tmp_path / "e"))).count() == 0
