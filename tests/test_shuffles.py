@@ -1,6 +1,7 @@
 """What is shuffled and staged: readings and not their values, short keys and not the ids of all edges."""
 
-from arbolytics.plans.graph_build import build_nodes
+from arbolytics.plans import graph_queries as Q
+from arbolytics.plans.graph_build import all_edges, build_graph, build_nodes
 from arbolytics.plans.graph_spec import node_specs
 from tests import fixtures as X
 
@@ -14,3 +15,26 @@ def test_readings_are_shuffled_before_they_become_values(spark):
     assert found.index("Generate stack") < found.index("Exchange hashpartitioning")
     above = found[:found.index("Generate stack")]
     assert "Exchange" not in above
+
+
+def test_two_hops_stage_no_edge_table(spark, monkeypatch):
+    graph, sizes = build_graph(X.wide(spark)), []
+    n_edges = all_edges(graph).count()
+    real = Q.stage
+
+    def counted(df, name):
+        out = real(df, name)
+        sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(Q, "stage", counted)
+    found = [tuple(r) for r in Q.any_two_hops(graph, 1).collect()]
+    assert len(found) == 1 and max(sizes) < n_edges
+    monkeypatch.setattr(Q, "MOST_TRIED", 0)  # all edges joined
+    assert [tuple(r) for r in Q.any_two_hops(graph, 1).collect()] == found
+
+
+def test_two_hops_behind_many_dead_ends(spark):
+    rows = [(f"e{i:03d}", "a", f"end{i}") for i in range(40)] + [("f1", "a", "b"), ("f2", "b", "c")]
+    edges = spark.createDataFrame(rows, "`:ID` string, `:START_ID` string, `:END_ID` string")
+    assert [(r.first_edge, r.second_edge) for r in Q.two_hops(edges, edges, 1).collect()] == [("f1", "f2")]
