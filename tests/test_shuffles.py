@@ -1,6 +1,8 @@
 """What is shuffled and staged: readings and not their values, short keys and not the ids of all edges."""
 
-from arbolytics.plans import graph_queries as Q
+from __spark_entry__ import queries
+from arbolytics.operators.quality import id_conflicts
+from arbolytics.plans import graph_build, graph_queries as Q
 from arbolytics.plans.graph_build import all_edges, build_graph, build_nodes
 from arbolytics.plans.graph_spec import node_specs
 from tests import fixtures as X
@@ -17,6 +19,12 @@ def test_readings_are_shuffled_before_they_become_values(spark):
     assert "Exchange" not in above
 
 
+def test_id_conflicts_shuffles_once(spark):
+    nodes = spark.createDataFrame([("a", "1"), ("a", None), ("b", "1"), ("b", "1")], "`:ID` string, value string")
+    assert plan(id_conflicts(nodes)).count("Exchange hashpartitioning") == 1
+    assert [tuple(r) for r in id_conflicts(nodes).collect()] == [("a", 2)]
+
+
 def test_two_hops_stage_no_edge_table(spark, monkeypatch):
     graph, sizes = build_graph(X.wide(spark)), []
     n_edges = all_edges(graph).count()
@@ -38,3 +46,10 @@ def test_two_hops_behind_many_dead_ends(spark):
     rows = [(f"e{i:03d}", "a", f"end{i}") for i in range(40)] + [("f1", "a", "b"), ("f2", "b", "c")]
     edges = spark.createDataFrame(rows, "`:ID` string, `:START_ID` string, `:END_ID` string")
     assert [(r.first_edge, r.second_edge) for r in Q.two_hops(edges, edges, 1).collect()] == [("f1", "f2")]
+
+
+def test_unhealthy_plants_store_no_edges(spark, monkeypatch):
+    names, real = [], graph_build.stage_all
+    monkeypatch.setattr(graph_build, "stage_all", lambda frames: names.extend(frames) or real(frames))
+    queries()["unhealthy_plants"](spark, "/root/testdata/sf0.001").count()
+    assert names == ["node-sensor_data"]
