@@ -5,6 +5,7 @@ from arbolytics.operators.quality import id_conflicts
 from arbolytics.plans import graph_build, graph_queries as Q
 from arbolytics.plans.graph_build import all_edges, build_graph, build_nodes
 from arbolytics.plans.graph_spec import node_specs
+from arbolytics.workload import queries_features
 from tests import fixtures as X
 
 
@@ -53,3 +54,19 @@ def test_unhealthy_plants_store_no_edges(spark, monkeypatch):
     monkeypatch.setattr(graph_build, "stage_all", lambda frames: names.extend(frames) or real(frames))
     queries()["unhealthy_plants"](spark, "/root/testdata/sf0.001").count()
     assert names == ["node-sensor_data"]
+
+
+def staged_columns(monkeypatch, *modules):
+    found = []
+    for module in modules:
+        real = module.stage
+        monkeypatch.setattr(module, "stage", lambda df, name, real=real: found.append((name, df.columns)) or real(df, name))
+    return found
+
+
+def test_scaled_rows_are_staged_without_ids(spark, monkeypatch):
+    found = staged_columns(monkeypatch, queries_features)
+    assert queries()["minmax_scaled"](spark, "/root/testdata/sf0.001").columns[:3] == ["plant_id", "sensor_id", "sdid"]
+    staged = dict(found)
+    assert not {"sdid", "event_id"} & set(staged["training"])
+    assert staged["training-keys"] == ["iot_sensor_id", "iot_plant_id"]
