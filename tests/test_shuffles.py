@@ -3,7 +3,7 @@
 from __spark_entry__ import queries
 from arbolytics.operators.quality import id_conflicts
 from arbolytics.plans import graph_build, graph_queries as Q
-from arbolytics.plans.graph_build import all_edges, build_graph, build_nodes
+from arbolytics.plans.graph_build import Graph, all_edges, build_graph, build_nodes
 from arbolytics.plans.graph_spec import node_specs
 from arbolytics.workload import queries_features
 from tests import fixtures as X
@@ -70,3 +70,18 @@ def test_scaled_rows_are_staged_without_ids(spark, monkeypatch):
     staged = dict(found)
     assert not {"sdid", "event_id"} & set(staged["training"])
     assert staged["training-keys"] == ["iot_sensor_id", "iot_plant_id"]
+
+
+def test_reach_stages_short_keys(spark, monkeypatch):
+    graph = build_graph(X.wide(spark))
+    start = graph.nodes["garden"]
+    rows = lambda g: sorted(tuple(r) for r in Q.reachable(g, start).collect())
+    expected = rows(Graph(graph.nodes, graph.edges))
+    names, real = [], Q.stage_all
+    monkeypatch.setattr(Q, "stage_all", lambda frames: [names.extend(df.columns) for df in frames.values()] and real(frames))
+    found = staged_columns(monkeypatch, Q)
+    assert rows(graph) == expected
+    assert [columns for _, columns in found] == [["_id"]] and names
+    assert not {"at", "next", "event_id", "_label"} & set(names)
+    two = sorted(tuple(r) for r in Q.reachable(graph, start, max_depth=2).collect())
+    assert two == [r for r in expected if r[2] <= 2]
