@@ -4,6 +4,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from arbolytics.operators import ranking
 from arbolytics.operators.ranking import number_rows
 from arbolytics.plans import features as M
 from arbolytics.plans import graph_queries as Q
@@ -189,3 +190,23 @@ def test_one_class_is_a_constant(spark):
     rows = health_rows(spark, 60).withColumn("plant_status", F.lit(0.0))
     scored = model.score(model.fit(rows, ["x", "y"]), rows, ["x", "y"])
     assert {(r.probability_healthy, r.predicted_status) for r in scored.collect()} == {(0.0, 0.0)}
+
+
+def test_indexes_by_short_keys(spark, monkeypatch):
+    """The same indexes as from the ids, and no id is staged."""
+    wide, spec = X.wide(spark), node_specs()["sensor_data"]
+    graph = build_graph(wide)
+    status = Q.all_healthy(graph)
+    values = M.training_values(wide, spec, status)
+    columns, real = [], ranking.stage
+    monkeypatch.setattr(ranking, "stage", lambda df, name: columns.extend(df.columns) or real(df, name))
+    numbered = M.numbered_values(values, spec)
+    assert columns and not {"sdid", "_sdid", "event_id", "plant_id"} & set(columns)
+    by_ids = M.vertex_index(M.numbered_rows(M.with_row_ids(values, spec)))
+    index = M.key_index(numbered, spec)
+    assert X.rows_of(M.vertex_index_of_keys(index, spec)) == X.rows_of(by_ids)
+    edges = Q.edge_list(graph)
+    codes = M.label_codes(edges, "lbl")
+    expected = X.rows_of(M.edge_index(edges, by_ids, codes))
+    assert X.rows_of(M.edge_index_of_keys(graph, Q.LISTED, index, codes)) == expected
+    assert any(r[4] is None or r[5] is None for r in expected) and any(r[4] is not None for r in expected)
