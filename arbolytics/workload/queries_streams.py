@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
@@ -219,11 +221,19 @@ def built_in_sketch(spark, folder):
         number(5, 8).alias("n_rows"), number(13, 4).cast("int").alias("depth"), number(17, 4).cast("int").alias("width"))
 
 
-def _readings_in_batches(spark, folder, files: int = 6) -> DataFrame:
-    """All events as readings, in several micro-batches: the events are dealt to files, one is taken at a time."""
+#: Events that one task reads of a micro-batch.
+FILE_ROWS = 100_000
+
+
+def _readings_in_batches(spark, folder, batches: int = 6) -> DataFrame:
+    """All events as readings, in several micro-batches: the events are dealt to files, equally many are taken at a time.
+
+    A file of this size is read by one task, so the files of a batch follow the rows.
+    """
     landing, events = fresh_path(spark, "landing"), B.table(spark, folder, "events")
-    events.repartition(files, "event_id").write.parquet(landing)
-    return parse_readings(B.event_messages(file_source(spark, landing, events.schema, max_files_per_trigger=1)))
+    each = max(1, math.ceil(events.count() / (batches * FILE_ROWS)))
+    events.repartition(batches * each, "event_id").write.parquet(landing)
+    return parse_readings(B.event_messages(file_source(spark, landing, events.schema, max_files_per_trigger=each)))
 
 
 def _fold(stream: DataFrame, name: str, writer) -> None:

@@ -12,6 +12,7 @@ from arbolytics.streaming import aggregates as A
 from arbolytics.streaming import heavy_hitters as H
 from arbolytics.streaming import runner as R
 from arbolytics.streaming.parse import parse_readings
+from arbolytics.workload import queries_streams
 from tests import fixtures as X
 
 START = dt.datetime(2030, 5, 1, 10)
@@ -185,3 +186,16 @@ def test_binary_sketches_merge(spark, folder):
     assert any(found[k] > n for k, n in Counter(sum(parts, [])).items())
     none = sketches.merged_sketch(got.limit(0), 16, 3)
     assert {r.estimate for r in sketches.estimates_from(every, none, "garden_id", 16, 3).collect()} == {0}
+
+
+def test_files_of_a_batch_follow_the_rows(spark, folder, monkeypatch):
+    """Six batches, read by as many tasks as the rows need; every event once."""
+    events = spark.range(500).select(
+        F.col("id").alias("event_id"), (F.col("id") % 7).alias("user_id"), F.lit("a").alias("event_type"),
+        F.timestamp_seconds(F.col("id")).alias("ts"), F.lit(1.0).alias("value"), F.lit('{"k": 1}').alias("props"))
+    events.write.parquet(f"{folder}/events.parquet")
+    monkeypatch.setattr(queries_streams, "FILE_ROWS", 20)
+    seen = []
+    queries_streams._fold(queries_streams._readings_in_batches(spark, folder), "files",
+                          lambda batch, _: seen.append((batch.rdd.getNumPartitions(), batch.count())))
+    assert len(seen) == 6 and sum(n for _, n in seen) == 500 and all(parts > 1 for parts, _ in seen)
