@@ -273,6 +273,27 @@ def test_long_lines_without_blanks(docs):
     assert gone <= near and len(gone) >= 0.9 * len(near) > 0
 
 
+def test_long_lines_with_spread_edits_are_found_completely(docs):
+    """Edits at even distances leave no long part of a line as it was."""
+    pick = random.Random(15)
+    rows = []
+    for k in range(30):
+        n = pick.randrange(80, 400) if k else 1800
+        line = "".join(pick.choices("abcdefghijklmnopqrstuvwxyz ", k=n - 2)) + "ab"
+        most = (n - n // 40) // 20
+        other, start = list(line), pick.randrange(10, 16)
+        for k in range(most):
+            at = start + k * (n - start) // most
+            other[at] = pick.choice(["", "#", other[at] + "#"])
+        rows += [(len(rows), line), (len(rows) + 1, "".join(other))]
+    pick.shuffle(rows)
+    rows = [(d, t) for d, (_, t) in enumerate(rows)]
+    first = first_places(rows)
+    near = near_by_brute_force(first, lambda n: max(1, n // 20), L.LEAST_SEGMENT)
+    got = {r.doc_id: r.text for r in L.line_dedup(docs(rows), chars_per_edit=20).collect()}
+    assert {t for d, t in rows if not got[d]} == near and len(near) > 25
+
+
 def test_very_many_lines_of_one_list(spark, docs):
     """Far lines with a common part, and near copies of a line that is not there, make pairs in proportion to the lines."""
     import duckdb
