@@ -85,3 +85,16 @@ def test_reach_stages_short_keys(spark, monkeypatch):
     assert not {"at", "next", "event_id", "_label"} & set(names)
     two = sorted(tuple(r) for r in Q.reachable(graph, start, max_depth=2).collect())
     assert two == [r for r in expected if r[2] <= 2]
+
+
+def test_the_sample_is_picked_from_stored_plants(spark, monkeypatch):
+    read, real = {}, queries_features.stage
+
+    def seen(df, name):
+        read[name] = {f.split("/")[-2].rsplit("-", 1)[0] for f in df.inputFiles()}
+        return real(df, name)
+
+    monkeypatch.setattr(queries_features, "stage", seen)
+    monkeypatch.setattr(queries_features.B, "value_and_key_rows", lambda *_: (X.wide(spark), X.wide(spark)))
+    rows, _ = queries_features._labelled(spark, "")
+    assert read["model-rows"] == {"model-labelled"} and rows.count() > 0
