@@ -294,6 +294,39 @@ def test_long_lines_with_spread_edits_are_found_completely(docs):
     assert {t for d, t in rows if not got[d]} == near and len(near) > 25
 
 
+def test_long_lines_are_found_in_parts_by_length(docs, monkeypatch):
+    """Pairs whose lengths lie in different parts are found as well, and a line of many pieces like any other."""
+    pick = random.Random(16)
+    rows = []
+    for n in [*range(80, 400, 5), 13_000]:
+        line = "".join(pick.choices("abcdefghijklmnopqrstuvwxyz ", k=n - 1)) + "a"
+        most = (n - n // 20) // 20
+        gone = {13 + k * (n - 13) // most for k in range(most)}
+        rows += [line, "".join(c for i, c in enumerate(line) if i not in gone)]
+    pick.shuffle(rows)
+    rows = list(enumerate(rows))
+    monkeypatch.setattr(L, "LEAST_SLICE", 1)
+    lengths = [len(t) for _, t in rows]
+    parts = L.length_slices(docs(rows).selectExpr("char_length(text) AS n"))
+    assert len(parts) > 5 and all(sum(low <= n <= high for low, high in parts) == 1 for n in lengths)
+    got = {r.doc_id: r.text for r in L.line_dedup(docs(rows), chars_per_edit=20).collect()}
+    assert sum(not t for t in got.values()) == len(rows) // 2
+
+
+def test_nothing_but_the_result_stays(spark, docs, scope):
+    """The tables staged on the way are gone when the result is read, and the session is as it was."""
+    import os
+
+    from arbolytics.session import SHUFFLE_CLEANUP
+
+    pick = random.Random(17)
+    rows = changing_lines(pick, lambda: pick.randrange(4, 60), 10, 4)
+    for cpe in (None, 20):
+        before, was = set(os.listdir(scope) if os.path.exists(scope) else []), spark.conf.get(SHUFFLE_CLEANUP, None)
+        assert L.line_dedup(docs(rows), chars_per_edit=cpe).filter("n_removed > 0").count() > 0
+        assert len(set(os.listdir(scope)) - before) == 1 and spark.conf.get(SHUFFLE_CLEANUP, None) == was
+
+
 def test_very_many_lines_of_one_list(spark, docs):
     """Far lines with a common part, and near copies of a line that is not there, make pairs in proportion to the lines."""
     import duckdb
