@@ -1,9 +1,14 @@
 """What is shuffled and staged: readings and not their values, short keys and not the ids of all edges."""
 
+import glob
+
+from pyspark.sql import functions as F
+
 from __spark_entry__ import queries
+from arbolytics.operators import ranking
 from arbolytics.operators.quality import id_conflicts
-from arbolytics.plans import graph_build, graph_queries as Q
-from arbolytics.plans.graph_build import Graph, all_edges, build_graph, build_nodes
+from arbolytics.plans import features as M, graph_build, graph_queries as Q
+from arbolytics.plans.graph_build import Graph, all_edges, build_graph, build_nodes, value_conflicts
 from arbolytics.plans.graph_spec import node_specs
 from arbolytics.workload import queries_features
 from tests import fixtures as X
@@ -98,3 +103,55 @@ def test_the_sample_is_picked_from_stored_plants(spark, monkeypatch):
     monkeypatch.setattr(queries_features.B, "value_and_key_rows", lambda *_: (X.wide(spark), X.wide(spark)))
     rows, _ = queries_features._labelled(spark, "")
     assert read["model-rows"] == {"model-labelled"} and rows.count() > 0
+
+
+def two_runs(spark):
+    """Wide rows of two runs: a plant and sensor have several events, whose rows take turns in the order of their ids."""
+    rows = X.wide(spark)
+    return rows.unionByName(rows.filter("iot_sensor_id <> 'aa:00'").withColumn("today", F.lit("2030-05-09")).withColumn("iot_temp", F.col("iot_temp") + 1))
+
+
+def test_indexes_number_events_and_not_values(spark, monkeypatch):
+    rows, spec = two_runs(spark), node_specs()["sensor_data"]
+    status = Q.all_healthy(build_graph(rows))
+    values = M.training_values(rows, spec, status)
+    sizes = []
+    for module in (ranking, M):
+        real = module.stage
+        monkeypatch.setattr(module, "stage", lambda df, name, real=real: sizes.append(df.count()) or real(df, name))
+    index = M.key_index(M.numbered_values(values, spec), spec)
+    n_events = rows.select("iot_sensor_id", "today", "iot_plant_id").distinct().count()
+    assert sizes and max(sizes) == n_events < values.count()
+    monkeypatch.undo()
+    by_ids = M.vertex_index(M.numbered_rows(M.with_row_ids(values, spec)))
+    assert X.rows_of(M.vertex_index_of_keys(index, spec)) == X.rows_of(by_ids)
+
+
+def test_unhealthy_plants_join_no_ids(spark):
+    found = plan(queries()["unhealthy_plants"](spark, "/root/testdata/sf0.001"))
+    assert "sha1" not in found
+
+
+def test_conflicts_are_found_before_ids_are_hashed(spark):
+    rows = X.wide(spark)
+    rows = rows.unionByName(rows.withColumn("iot_sensor_id", F.lit(None).cast("string")))
+    spec = node_specs()["sensor_data"]
+    found = value_conflicts(rows, spec)
+    lines = plan(found)
+    assert lines.index("sha1") < lines.index("HashAggregate")  # the ids are made by the topmost step
+    assert lines.count("sha1") and "sha1" not in lines[lines.index("HashAggregate"):]
+    assert X.rows_of(found) == X.rows_of(id_conflicts(build_nodes(rows, spec)))
+    assert found.filter("`:ID` IS NULL").count() == 1
+
+
+def test_written_graph_is_compressed(spark, monkeypatch):
+    """Wide rows are staged without ids, and the tables are written as gzip."""
+    from arbolytics.workload import bindings, queries_graph
+
+    columns, real, paths = [], bindings.stage, []
+    monkeypatch.setattr(bindings, "stage", lambda df, name: columns.extend(df.columns) or real(df, name))
+    reader = queries_graph.read_csv_by_header
+    monkeypatch.setattr(queries_graph, "read_csv_by_header", lambda s, path, schema: paths.append(path) or reader(s, path, schema))
+    assert queries()["graph_written"](spark, "/root/testdata/sf0.001").count() == 23
+    assert columns and "event_id" not in columns
+    assert len(paths) == 23 and all(glob.glob(f"{p}/part-*.csv.gz") for p in paths)
