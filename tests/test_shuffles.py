@@ -1,6 +1,7 @@
 """What is shuffled and staged: readings and not their values, short keys and not the ids of all edges."""
 
 import glob
+import os
 
 from pyspark.sql import functions as F
 
@@ -155,3 +156,9 @@ def test_written_graph_is_compressed(spark, monkeypatch):
     assert queries()["graph_written"](spark, "/root/testdata/sf0.001").count() == 23
     assert columns and "event_id" not in columns
     assert len(paths) == 23 and all(glob.glob(f"{p}/part-*.csv.gz") for p in paths)
+
+
+def test_only_the_training_rows_stay(spark, scope):
+    rows = queries()["one_hot"](spark, "/root/testdata/sf0.001")
+    left = {name.rsplit("-", 1)[0] for name in os.listdir(scope) if name.startswith("training")}
+    assert left == {"training"} and rows.count() > 0
