@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from arbolytics.operators import ranking
+from arbolytics.operators.quality import counted
 from arbolytics.operators.ranking import number_rows
 from arbolytics.plans import features as M
 from arbolytics.plans import graph_queries as Q
@@ -210,3 +211,11 @@ def test_indexes_by_short_keys(spark, monkeypatch):
     expected = X.rows_of(M.edge_index(edges, by_ids, codes))
     assert X.rows_of(M.edge_index_of_keys(graph, Q.LISTED, index, codes)) == expected
     assert any(r[4] is None or r[5] is None for r in expected) and any(r[4] is not None for r in expected)
+
+
+def test_one_class_after_an_observation(spark):
+    """A session that has observed a table scores with the constant model as before."""
+    counted(spark.range(3), "seen")[0].collect()
+    rows = health_rows(spark, 60).withColumn("plant_status", F.lit(1.0))
+    scored = model.score(model.fit(rows, ["x", "y"]), rows, ["x", "y"])
+    assert {(r.probability_healthy, r.predicted_status) for r in scored.collect()} == {(1.0, 1.0)}
